@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,15 @@ from weir.functions.payload import words
 BAD = "_bad_record"
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``withColumn`` for costly expressions that are filtered on afterwards.
+
+    A filter moves below a plain projection and repeats the expression for every use; it does not move
+    below a generator, here one that yields exactly one row.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def parse_json(
     df: DataFrame,
     col: str,
@@ -28,16 +37,15 @@ def parse_json(
     """
     rename = rename or {}
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    parsed = F.from_json(F.col(col), text, {"allowUnquotedFieldNames": "true"})
-    typed = df.withColumn("_parsed", parsed).withColumns({
+    parsed = F.from_json(F.col("_text"), text, {"allowUnquotedFieldNames": "true"})
+    typed = computed_once(df.withColumnRenamed(col, "_text"), "_parsed", parsed).withColumns({
         rename.get(f.name, f.name): F.col(f"_parsed.`{f.name}`").try_cast(f.dataType) for f in schema
     })
-    needed = [rename.get(name, name) for name in (schema.names if required is None else required)]
     missing = F.col("_parsed").isNull()
-    for name in needed:
-        missing = missing | F.col(name).isNull()
-    typed = typed.withColumn(BAD, F.when(missing, F.col(col))).drop("_parsed")
-    return typed if col in [rename.get(n, n) for n in schema.names] else typed.drop(col)
+    for name in schema.names if required is None else required:
+        missing = missing | F.col(rename.get(name, name)).isNull()
+    bad = F.when(missing, F.coalesce("_text", F.lit("")))
+    return typed.withColumn(BAD, bad).drop("_parsed", "_text")
 
 
 def split_bad(df: DataFrame, policy: str = "drop") -> tuple[DataFrame, DataFrame | None]:
@@ -83,7 +91,7 @@ def extract_paths(df: DataFrame, col: str, paths: Mapping[str, str], default: st
         found = df
     else:
         schema = _text_schema(listed).add(BAD, T.StringType())
-        found = df.withColumn("_found", F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": BAD}))
+        found = computed_once(df, "_found", F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": BAD}))
         values = {out: F.col(f"_found.{path}") for out, path in paths.items()}
         bad = F.col("_found").isNull() | F.col(f"_found.{BAD}").isNotNull()
     values = {out: value if default is None else default_null_key(value, default) for out, value in values.items()}

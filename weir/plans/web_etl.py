@@ -9,7 +9,7 @@ from weir.config import AggregationOptions
 from weir.functions.times import parse_timestamp
 from weir.operators.aggregate import windowed_key_agg
 from weir.operators.keyed import to_cells
-from weir.operators.parse import BAD, extract_paths, split_bad
+from weir.operators.parse import BAD, computed_once, extract_paths, split_bad
 from weir.operators.rank import top_n
 
 
@@ -23,7 +23,7 @@ def keyed_events(raw: DataFrame, payload: str, options: AggregationOptions, arri
         found = extract_paths(raw, payload, paths)
         return found.withColumn("ts", F.current_timestamp() if arrival is None else arrival)
     found = extract_paths(raw, payload, {**paths, "_ts": options.timestamp_field})
-    timed = found.withColumn("ts", parse_timestamp(F.col("_ts"))).drop("_ts")
+    timed = computed_once(found, "ts", parse_timestamp(F.col("_ts"))).drop("_ts")
     unread = F.when(F.col("ts").isNull(), F.coalesce(F.col(payload), F.lit("")))
     return timed.withColumn(BAD, F.coalesce(F.col(BAD), unread))
 
