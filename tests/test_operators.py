@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weir.catalog.frames import HOUR, MINUTE, hourly, table
-from weir.operators import aggregate, enrich, keyed, rank, running, select
+from weir.operators import aggregate, enrich, keyed, rank, running, select, words
 from weir.operators.packing import bulk_pack
 
 FILES = {
@@ -38,7 +38,7 @@ def test_partials_of_any_split_merge_to_the_whole(spark, sf_dir):
 
 def test_files_hold_67_words(spark):
     lines = spark.createDataFrame([(f, line) for f, text in FILES.items() for line in text.split("\n")], "file string, line string")
-    assert dict(tuples(aggregate.file_word_count(lines, "file", "line"))) == {"0": 13, "1": 32, "2": 22}
+    assert dict(tuples(words.file_word_count(lines, "file", "line"))) == {"0": 13, "1": 32, "2": 22}
 
 
 def test_running_word_count(spark):
@@ -49,26 +49,49 @@ def test_running_word_count(spark):
         for word in filter(None, text.split(" ")):
             seen[word] = seen.get(word, 0) + 1
             expected.append((doc, word, seen[word]))
-    found = aggregate.running_word_count(spark.createDataFrame(docs, "id long, text string"), "id", "text")
+    found = words.running_word_count(spark.createDataFrame(docs, "id long, text string"), "id", "text")
     assert tuples(found) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("ranged", [False, True])
-def test_running_sum_with_a_hot_key(spark, ranged):
+@pytest.mark.parametrize("slices", [None, 1, 2, 50, 1024])
+def test_running_sum_with_a_hot_key(spark, slices):
+    """Negative, then far apart orders; one key NULL."""
     rng = random.Random(2)
-    rows = [(key, order, rng.randrange(-5, 9)) for order, key in enumerate(hot(rng, 3000, 7), start=-100)]
+    places = [i - 100 if slices is None else (i - 100) ** 3 for i in range(1500)]
+    rows = [(key or None, place, rng.randrange(-5, 9)) for place, key in zip(places, hot(rng, 1500, 7), strict=True)]
     expected, totals = [], {}
     for key, order, value in rows:
         totals[key] = totals.get(key, 0) + value
         expected.append((key, order, value, totals[key]))
     df = spark.createDataFrame(rows, "key int, pos long, v int").repartition(5)
-    if ranged:
-        found = running.running_sum_ranged(df, "v", "pos", by=["key"])
-    else:
+    if slices is None:
         found = running.running_sum(df, "v", "pos", by=["key"], span=64)
+    else:
+        found = running.running_sum(df, "v", "pos", by=["key"], slice_of=running.quantile_slices(df, "pos", slices, rows_per_slice=1))
     assert tuples(found) == sorted(expected, key=repr)
 
 
+def test_quantile_slices(spark):
+    """Slices rise with the order and are about equally large, however the values are spread."""
+    df = spark.range(20_000).select((F.col("id") * F.col("id") - 5000).alias("pos"))
+    sliced = df.select("pos", running.quantile_slices(df, "pos", 100, rows_per_slice=1).alias("slice"))
+    sizes = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+    found = sizes.orderBy("slice").collect()
+    assert [r.slice for r in found] == list(range(100))
+    assert all(150 < r.n < 250 for r in found)
+    assert all(a.high < b.low for a, b in itertools.pairwise(found))
+    assert df.select(running.quantile_slices(df, "pos").alias("slice")).distinct().count() == 4
+    none = spark.createDataFrame([], "pos long")
+    assert none.select(running.quantile_slices(none, "pos")).count() == 0
+
+
+def test_running_total_counts_ticks_once(spark, sf_dir):
+    """Both uses of tick counts read one shuffle."""
+    totals = aggregate.running_total(aggregate.tick_counts(table(spark, sf_dir, "events"), "ts", MINUTE), MINUTE)
+    totals.collect()
+    assert "ReusedExchange" in totals._jdf.queryExecution().executedPlan().toString()
+
+
 def test_running_total_spans_slices(spark):
     ticks = spark.range(10_000).select((F.col("id") * 60_000).alias("timestamp"), F.lit(2).alias("event_count"))
     totals = aggregate.running_total(ticks, MINUTE)

@@ -9,7 +9,7 @@ from weir.catalog import query
 from weir.catalog.frames import DAILY_CELLS, DAY, HOUR, MINUTE, daily_cells, hourly, lines, table, web_log
 from weir.config import AggregationOptions
 from weir.operators import aggregate as agg
-from weir.operators import keyed, rank, running
+from weir.operators import keyed, rank, running, words
 from weir.operators.select import merge_partials
 from weir.plans import event_counter, web_etl
 
@@ -83,7 +83,7 @@ def a7_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT word, count(*) AS n FROM ({_WORDS}) WHERE word <> '' GROUP BY word")
 def a8_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.word_count(table(spark, sf_dir, "documents"), "text")
+    return words.word_count(table(spark, sf_dir, "documents"), "text")
 
 
 @query(f"""
@@ -91,7 +91,7 @@ def a8_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({_WORDS}) WHERE word <> ''
 """)
 def a9_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.running_word_count(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return words.running_word_count(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @query("SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes FROM documents")
@@ -124,7 +124,7 @@ def a12_committed_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY source
 """)
 def a13_file_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.file_word_count(lines(spark, sf_dir), "source", "line")
+    return words.file_word_count(lines(spark, sf_dir), "source", "line")
 
 
 _ROLLUP = f"""

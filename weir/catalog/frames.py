@@ -24,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return file_stream(spark, sf_dir, table(spark, sf_dir, name).schema, pattern=f"{name}.parquet")
+    """The table as a stream; the path is a glob, because a plain path may only name a folder."""
+    return file_stream(spark, f"{sf_dir}/{name}.parque[t]", table(spark, sf_dir, name).schema)
 
 
 def utc(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from weir.catalog import query
 from weir.catalog.frames import DAILY_CELLS, daily_cells, table, vehicle_json, vehicles
 from weir.catalog.lookups import plan_vehicle_enrich  # noqa: F401
-from weir.operators import aggregate, keyed
+from weir.operators import keyed, words
 from weir.operators.packing import bulk_pack
 from weir.plans import vehicle_enrich
 from weir.sinks import payloads, tables
@@ -134,7 +134,7 @@ def s6_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "documents").select("source", "text").write.partitionBy("source").text(path)
     lines = files.text_lines(spark, [path])
     by_source = lines.withColumn("source", F.regexp_extract("file", "source=([^/]*)/", 1))
-    counted = aggregate.file_word_count(by_source, "source", "line")
+    counted = words.file_word_count(by_source, "source", "line")
     return by_source.groupBy("source").agg(F.count(F.lit(1)).alias("lines")).join(counted, "source")
 
 

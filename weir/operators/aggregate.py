@@ -1,4 +1,4 @@
-"""Aggregations."""
+"""Aggregations."""
 
 from __future__ import annotations
 
@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.keys import default_null_key
-from weir.functions.payload import words
 from weir.functions.times import epoch_millis, micros, window_of
-from weir.operators.parse import split_words
 from weir.operators.rank import top_n, top_n_global
-from weir.operators.running import running_sum, running_sum_ranged
+from weir.operators.running import running_sum
 from weir.operators.select import positive_only
 
 
@@ -24,13 +22,19 @@ def windowed_key_agg(
 
     Swap ``pk`` and ``sk`` for the reverse lookup. Missing keys count under ``"null"``.
     """
-    pk, sk = (F.col(k) if isinstance(k, str) else k for k in (pk, sk))
+    named = {"pk": F.col(pk) if isinstance(pk, str) else pk, "sk": F.col(sk) if isinstance(sk, str) else sk}
+    types = dict(df.select(*[key.alias(name) for name, key in named.items()]).dtypes)
+    # Keys become text, which is what is stored; those of other types are smaller to group by as they are.
+    keys = [
+        (default_null_key(key) if types[name] in ("string", "void") else key).alias(name)
+        for name, key in named.items()
+    ]
     measure = F.count(F.lit(1)) if value is None else F.sum(value)
-    return (
-        df.groupBy(window_of(ts, window), default_null_key(pk).alias("pk"), default_null_key(sk).alias("sk"))
-        .agg(measure.cast("double").alias("value"))
-        .select(F.col("window.start").alias("agg_ts"), "pk", "sk", "value")
-    )
+    # The whole window is what a watermark closes; a batch groups by its start alone.
+    slot = window_of(ts, window) if df.isStreaming else window_of(ts, window).start.alias("agg_ts")
+    grouped = df.groupBy(slot, *keys).agg(measure.cast("double").alias("value"))
+    start = F.col("window.start").alias("agg_ts") if df.isStreaming else F.col("agg_ts")
+    return grouped.select(start, default_null_key(F.col("pk")).alias("pk"), default_null_key(F.col("sk")).alias("sk"), "value")
 
 
 def re_aggregate(partials: DataFrame) -> DataFrame:
@@ -69,26 +73,6 @@ def running_total(totals: DataFrame, tick: timedelta, ts: str = "timestamp", cou
     return running_sum(ticks, count, "_tick").drop("_tick")
 
 
-def word_count(df: DataFrame, text: str) -> DataFrame:
-    return split_words(df, text).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def running_word_count(df: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, word, n) for every occurrence of a word: its count so far, documents in id order.
-
-    Occurrences are first counted per document, so what is sorted and summed is one row per document
-    and word, and expanded again at the end.
-    """
-    per_doc = split_words(df, text, keep=[id]).groupBy("word", id).agg(F.count(F.lit(1)).alias("_n"))
-    upto = running_sum_ranged(per_doc, "_n", id, by=["word"], out="_upto")
-    return upto.select(id, "word", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))).alias("n"))
-
-
-def file_word_count(df: DataFrame, file: str, line: str) -> DataFrame:
-    """Words per file; every piece between single spaces counts, empty ones too."""
-    return df.groupBy(file).agg(F.sum(F.size(words(F.col(line)))).alias("words"))
-
-
 def byte_total(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.sum(F.octet_length(col)).alias("bytes"))
 

@@ -88,9 +88,10 @@ def cells_to_map(cells: DataFrame, max_cells: int = 10_000) -> DataFrame:
     as many parts as it needs, so that no task builds an unbounded map.
     """
     summed = sum_cells(cells)
-    parts = summed.groupBy("row_key").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_cells)).alias("_parts"))
+    # Counting the values keeps that column in both uses of the sums, so that they are computed once.
+    parts = summed.groupBy("row_key").agg(F.ceil(F.count("value") / F.lit(max_cells)).alias("_parts"))
     placed = lookup_join(summed, parts, ["row_key"], "inner").withColumn(
-        "part", F.pmod(F.xxhash64("column_key"), F.col("_parts")).cast("int")
+        "part", F.pmod(F.xxhash64("column_key"), F.greatest("_parts", F.lit(1))).cast("int")
     )
     entries = F.sort_array(F.collect_list(F.struct("column_key", "value")))
     return placed.groupBy("row_key", "part").agg(F.map_from_entries(entries).alias("cells"))

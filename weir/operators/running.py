@@ -1,56 +1,79 @@
 """Running sums that no single task has to walk through (W4, and the base of A7, A9, A12).
 
-A window over a whole key - or over the whole table - would put a hot key's rows into one task. Both
-forms here cut each key's rows into slices, sum inside every slice and add what the earlier slices hold.
+A window over a whole key - or over the whole table - would put a hot key's rows into one task. Here each
+key's rows are cut into slices along the order; sums run inside every slice and start from what the
+earlier slices hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weir.workspace import checkpointed
+_SLICE, _WEIGHT, _IS_ROW = "_slice", "_weight", "_is_row"
 
-SLICE = "_slice"
-BEFORE = "_before"
 
+def running_sum(
+    df: DataFrame,
+    value: str,
+    order: str,
+    by: Sequence[str] = (),
+    span: int = 4096,
+    slice_of: Column | None = None,
+    out: str = "running_total",
+) -> DataFrame:
+    """Running sum of ``value`` along ``order``, which is unique per key and not NULL.
+
+    A slice is ``span`` consecutive values of an integer order, which suits orders without large gaps
+    (ticks, batch numbers): it holds at most ``span`` rows of a key, and the step over slice sums sees
+    one row per ``span`` orders. For other orders pass ``slice_of``, a number that never falls as the
+    order grows (see :func:`quantile_slices`).
 
-def _sum_slices(sliced: DataFrame, value: Column, order: str, by: Sequence[str], out: str) -> DataFrame:
-    totals = sliced.groupBy(*by, SLICE).agg(F.sum(value).alias("_slice_sum"))
-    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(*by, SLICE, F.coalesce(F.sum("_slice_sum").over(earlier), F.lit(0)).alias(BEFORE))
-    inside = Window.partitionBy(*by, SLICE).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = sliced.withColumn("_inside", F.sum(value).over(inside))
+    What the earlier slices hold enters as one more row at the head of each slice. Unlike a join this
+    needs no second shuffle of the rows, and adds no filter that would make the two uses of ``df`` differ
+    and be computed twice.
+    """
+    slices = F.expr(f"`{order}` div {span}") if slice_of is None else slice_of
+    rows = df.withColumns({_SLICE: slices, _WEIGHT: F.col(value), _IS_ROW: F.lit(True)})
+    totals = rows.groupBy(*by, _SLICE).agg(F.sum(_WEIGHT).alias("_total"))
+    earlier = Window.partitionBy(*by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    heads = totals.select(*by, _SLICE, F.sum("_total").over(earlier).alias(_WEIGHT)).where(F.col(_WEIGHT).isNotNull())
+    inside = (
+        Window.partitionBy(*by, _SLICE)
+        .orderBy(F.asc_nulls_first(_IS_ROW), order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     return (
-        summed.join(before, [*by, SLICE])
-        .withColumn(out, F.col(BEFORE) + F.col("_inside"))
-        .drop(SLICE, BEFORE, "_inside")
+        rows.unionByName(heads, allowMissingColumns=True)
+        .withColumn(out, F.sum(_WEIGHT).over(inside))
+        .where(F.col(_IS_ROW))
+        .drop(_SLICE, _WEIGHT, _IS_ROW)
     )
 
 
-def running_sum(
-    df: DataFrame, value: str, order: str, by: Sequence[str] = (), span: int = 4096, out: str = "running_total"
-) -> DataFrame:
-    """Running sum of ``value`` along an integer ``order`` that is unique per key.
+def quantile_slices(df: DataFrame, order: str, slices: int = 1024, rows_per_slice: int = 4096) -> Column:
+    """Slice number of ``order``, cut so that slices hold about equally many rows of ``df``.
 
-    For orders without large gaps (ticks, batch numbers): a slice is ``span`` consecutive orders, so it
-    holds at most ``span`` rows, and the step over slice sums sees one row per ``span`` orders. ``by``
-    must not be NULL.
+    One pass over that column finds at most ``slices`` cuts, fewer if slices would get less than
+    ``rows_per_slice`` rows. The cuts become literals: every task and every retry sees the same ones, and
+    how the values are spread does not matter. A row is placed by looking through every 32nd cut, then
+    through the 32 cuts from there.
     """
-    sliced = df.withColumn(SLICE, F.expr(f"`{order}` div {span}"))
-    return _sum_slices(sliced, F.col(value), order, by, out)
+    shares = [i / slices for i in range(1, slices)]
+    rows, found = df.agg(F.count(order), F.percentile_approx(order, shares, 10 * slices)).first()
+    wanted = max(1, min(slices, rows // rows_per_slice))
+    cuts = sorted({found[i * slices // wanted - 1] for i in range(1, wanted)})
+    if not cuts:
+        return F.lit(0)
+    step = isqrt(len(cuts)) + 1
+    value = F.col(order)
 
+    def reached(candidates: Column) -> Column:
+        return F.size(F.filter(candidates, lambda cut: cut <= value))
 
-def running_sum_ranged(
-    df: DataFrame, value: str, order: str, by: Sequence[str] = (), out: str = "running_total"
-) -> DataFrame:
-    """Running sum of ``value`` along any sortable ``order`` that is unique per key.
-
-    Slices are range partitions, which spread a hot key over as many tasks as its rows need; the step
-    over slice sums sees one row per key and partition. The checkpoint pins rows to their partition:
-    range bounds are sampled, and a second evaluation could draw others.
-    """
-    ranged = df.repartitionByRange(*by, order).withColumn(SLICE, F.spark_partition_id())
-    return _sum_slices(checkpointed(ranged), F.col(value), order, by, out)
+    coarse = reached(F.lit(cuts[::step]))
+    fine = F.array(*[F.lit(cuts[i:i + step]) for i in range(0, len(cuts), step)])
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + reached(F.element_at(fine, coarse)))

@@ -42,15 +42,11 @@ def log_options_to_kafka(options: LogOptions, now: datetime | None = None) -> di
     return kafka
 
 
-def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, options: LogOptions | None = None, pattern: str | None = None
-) -> DataFrame:
-    """Parquet files of a folder as a stream, oldest file first; ``pattern`` selects by file name."""
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, options: LogOptions | None = None) -> DataFrame:
+    """Parquet files of a folder (or of a glob) as a stream, oldest file first."""
     reader = spark.readStream.schema(schema)
     if options and options.max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", options.max_per_trigger)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path)
 
 

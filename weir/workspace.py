@@ -1,11 +1,11 @@
-"""Shared storage for checkpoints and intermediate tables."""
+"""Shared storage for stream checkpoints and intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,12 +27,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path for one intermediate table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so the rows keep the partition they have now."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
