@@ -57,7 +57,8 @@ def c6_split_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The primary key holds the delimiter too."""
     key = keys.row_key(F.concat_ws("#", "event_type", F.col("user_id").cast("string")), F.col("ts"))
     pk, ts = keys.split_row_key(F.col("key"))
-    return table(spark, sf_dir, "events").select("event_id", key.alias("key")).select("event_id", pk.alias("pk"), naive(ts).alias("ts"))
+    keyed = table(spark, sf_dir, "events").select("event_id", key.alias("key"))
+    return keyed.select("event_id", pk.alias("pk"), naive(ts).alias("ts"))
 
 
 @query("""

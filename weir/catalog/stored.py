@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from weir.catalog import query
 from weir.catalog.frames import DAILY_CELLS, daily_cells, table, vehicle_json, vehicles
-from weir.catalog.lookups import plan_vehicle_enrich  # noqa: F401
 from weir.operators import keyed, words
 from weir.operators.packing import bulk_pack
 from weir.plans import vehicle_enrich

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weir.catalog import query
 from weir.catalog.aggregates import _HOURLY
-from weir.catalog.frames import HOUR, MINUTE, naive, part_models, table, table_stream, utc
+from weir.catalog.frames import HOUR, MINUTE, naive, part_models, table, table_stream, utc, write_parts
 from weir.catalog.lookups import _ENRICHED
 from weir.config import LogOptions, StreamOptions
 from weir.functions.times import duration
@@ -116,6 +116,59 @@ def t5_idempotent_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commit.committed(spark, out).groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
 
 
+def _three_parts(spark: SparkSession, sf_dir: str, options: LogOptions) -> DataFrame:
+    """Events as a stream over a folder written in three parts."""
+    inbox = scratch(spark, "inbox")
+    events = utc(table(spark, sf_dir, "events").select("ts", "event_type"))
+    first, last = _before("2024-01-11"), ~_before("2024-01-21")
+    write_parts(events, inbox, [first, ~first & ~last, last])
+    return logs.file_stream(spark, inbox, events.schema, options)
+
+
+def _type_counter(out: str) -> run.BatchFn:
+    return lambda batch, batch_id: commit.commit_once(aggregate.batch_counts(batch, "event_type"), batch_id, out)
+
+
+_THREE_BATCHES = "SELECT event_type, count(*) AS cnt, CAST(3 AS BIGINT) AS batches FROM events GROUP BY event_type"
+
+
+def _counted(spark: SparkSession, out: str) -> DataFrame:
+    return commit.committed(spark, out).groupBy("event_type").agg(
+        F.sum("cnt").alias("cnt"), F.count_distinct("batch_id").alias("batches")
+    )
+
+
+@query("SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")
+def t4_tick_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts flushed every second until the input is used up."""
+    out = scratch(spark, "ticks")
+    options = StreamOptions(scratch(spark, "offsets"), trigger=timedelta(seconds=1))
+    ticking = run.to_batches(table_stream(spark, sf_dir, "events").select("event_type"), _type_counter(out), options)
+    ticking.processAllAvailable()
+    ticking.stop()
+    return _counted(spark, out).drop("batches")
+
+
+@query(_THREE_BATCHES)
+def t7_count_or_tick_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tick every second, and no more than one file in a flush."""
+    out = scratch(spark, "flushes")
+    options = StreamOptions(scratch(spark, "offsets"), trigger=timedelta(seconds=1))
+    flushing = run.to_batches(_three_parts(spark, sf_dir, LogOptions(max_per_trigger=1)), _type_counter(out), options)
+    flushing.processAllAvailable()
+    flushing.stop()
+    return _counted(spark, out)
+
+
+@query(_THREE_BATCHES)
+def t8_bounded_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog worked off one file at a time."""
+    out = scratch(spark, "backlog")
+    backlog = _three_parts(spark, sf_dir, LogOptions(max_per_trigger=1))
+    run.to_batches(backlog, _type_counter(out), _options(spark)).awaitTermination()
+    return _counted(spark, out)
+
+
 @query("""
     SELECT batch_id, cnt, CAST(sum(cnt) OVER (ORDER BY batch_id) AS BIGINT) AS running_total
     FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch_id,

@@ -111,6 +111,9 @@ def rate_view(counts: DataFrame, ts: str = "timestamp", count: str = "event_coun
     )
 
 
+_MEASURES = ["received", "emitted", "errors", "received_per_sec", "emitted_per_sec"]
+
+
 def _rates(received: Column, emitted: Column, errors: Column, seconds: Column) -> list[Column]:
     return [
         received.alias("received"), emitted.alias("emitted"), errors.alias("errors"),
@@ -126,7 +129,7 @@ def throughput(df: DataFrame, ts: str, interval: timedelta, is_error: Column, em
     seconds = F.lit(interval.total_seconds())
     return per_key.groupBy("window").agg(
         *_rates(F.sum("_rows"), F.count_if(F.col("_rows") > F.col("_errors")), F.sum("_errors"), seconds)
-    ).select(F.col("window.start").alias("interval_start"), "received", "emitted", "errors", "received_per_sec", "emitted_per_sec")
+    ).select(F.col("window.start").alias("interval_start"), *_MEASURES)
 
 
 def throughput_overall(per_interval: DataFrame, interval: timedelta) -> DataFrame:

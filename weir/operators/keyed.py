@@ -19,9 +19,10 @@ CELL = ["row_key", "column_key"]
 def latest_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The last row of each key; rows with a NULL in the key are all kept, NULL equalling nothing."""
     unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
-    newest = Window.partitionBy(*keys).orderBy(*[F.desc(o) if isinstance(o, str) else o.desc() for o in order])
-    last = updates.where(~unkeyed).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
-    return last.unionByName(updates.where(unkeyed))
+    apart = F.when(unkeyed, F.monotonically_increasing_id())
+    newest = Window.partitionBy(*keys, "_apart").orderBy(*[F.desc(o) if isinstance(o, str) else o.desc() for o in order])
+    ranked = updates.withColumn("_apart", apart).withColumn("_rank", F.row_number().over(newest))
+    return ranked.where("_rank = 1").drop("_rank", "_apart")
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

@@ -62,8 +62,9 @@ def quantile_slices(df: DataFrame, order: str, slices: int = 1024, rows_per_slic
     how the values are spread does not matter. A row is placed by looking through every 32nd cut, then
     through the 32 cuts from there.
     """
-    shares = [i / slices for i in range(1, slices)]
-    rows, found = df.agg(F.count(order), F.percentile_approx(order, shares, 10 * slices)).first()
+    shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    quantiles = F.expr(f"percentile_approx(`{order}`, array({shares}), {10 * slices})")
+    rows, found = df.agg(F.count(order), quantiles).first()
     wanted = max(1, min(slices, rows // rows_per_slice))
     cuts = sorted({found[i * slices // wanted - 1] for i in range(1, wanted)})
     if not cuts:

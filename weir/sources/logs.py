@@ -105,10 +105,14 @@ def next_ranges(latest: DataFrame, previous: DataFrame | None = None) -> DataFra
 
 
 def offset_slice(df: DataFrame, ranges: DataFrame, partition: str = "partition", offset: str = "offset") -> DataFrame:
-    """Log rows inside their partition's [begin, end) range."""
+    """Log rows inside their partition's [begin, end) range.
+
+    The ranges are broadcast: they are one row per partition of the log, a number set when it is created.
+    Left to estimates, ranges computed from the log itself would look as large as the log and shuffle it.
+    """
     bounds = ranges.select(F.col("partition").alias(partition), "begin_offset", "end_offset")
     inside = (F.col(offset) >= F.col("begin_offset")) & (F.col(offset) < F.col("end_offset"))
-    return df.join(bounds, partition).where(inside).drop("begin_offset", "end_offset")
+    return df.join(F.broadcast(bounds), partition).where(inside).drop("begin_offset", "end_offset")
 
 
 def since(df: DataFrame, ts: str, start: datetime | None) -> DataFrame:
