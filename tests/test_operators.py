@@ -12,7 +12,7 @@ from weir.operators import aggregate, enrich, keyed, rank, running, select, word
 from weir.operators.packing import bulk_pack
 
 FILES = {
-    "0": "hello scp\nhow are you\nan apple a day keeps the doctor away",
+    "0": "hello all\nhow are you\nan apple a day keeps the doctor away",
     "1": "the cow jumped over the moon\nan apple a day keeps the doctor away\nfour score and seven years ago\n"
          "snow white and the seven dwarfs\ni am at two with nature",
     "2": "the cow jumped over the moon\nan apple a day keeps the doctor away\nonce upon a time\nmary mary quite contrary",

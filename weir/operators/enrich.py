@@ -32,7 +32,8 @@ def enrich_first(
 ) -> DataFrame:
     """Append ``cols`` of the first dimension row of each key; rows without one are dropped (or NULL, ``how="left"``).
 
-    ``df`` may be a stream. ``tie`` decides which row is first.
+    ``tie`` decides which row is first. ``df`` may be a stream; every micro-batch then reads the dimension
+    anew, so a large one is better stored as :func:`first_per_key` leaves it.
     """
     first = first_per_key(dim.select(*on, tie, *[c for c in cols if c != tie]), on, tie)
     return lookup_join(df, first.select(*on, *cols), on, how)

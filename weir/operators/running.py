@@ -55,7 +55,7 @@ def running_sum(
 
 
 def quantile_slices(df: DataFrame, order: str, slices: int = 1024, rows_per_slice: int = 4096) -> Column:
-    """Slice number of ``order``, cut so that slices hold about equally many rows of ``df``.
+    """Slice number of ``order``, a number or time, cut so that slices hold about equally many rows of ``df``.
 
     One pass over that column finds at most ``slices`` cuts, fewer if slices would get less than
     ``rows_per_slice`` rows. The cuts become literals: every task and every retry sees the same ones, and
