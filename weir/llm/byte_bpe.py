@@ -309,7 +309,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id: str = "doc_id
     if digests:
         schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     else:
-        schema.add("ids", "array<int>").add("decoded", "string")
+        schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
     return rows.mapInArrow(encode, schema)
 
 
