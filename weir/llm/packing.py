@@ -24,40 +24,48 @@ from weir.llm.common import SLICE, stored
 
 #: Partition offsets are broadcast up to this many partitions (16 bytes each), joined beyond.
 BROADCAST_PARTITIONS = 1 << 20
-#: Words a worker remembers the ids of.
-REMEMBERED = 400_000
+#: Pieces of text a worker remembers the ids of, and as many older ones.
+REMEMBERED = 300_000
 
 # The normaliser's white space is what str.split() takes for it but for these four characters.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _PIECES = re.compile("[^ \t\n\r\x0b\x0c]+")
+# Marks that end a word: the pattern splits between a letter or digit and them, too.
+_MARKS = re.compile("([a-z0-9\u00e0-\u00f6\u00f8-\u00ff])([.,!?;:#$%&*|()]+)(?=\\s|$)")
 
 
-class WordIds(dict):
-    """From a piece of text without white space to its ids, little-endian unsigned 32-bit.
+class WordIds:
+    """From texts to their ids, little-endian unsigned 32-bit.
 
     White space always ends a match of this tokenizer's pattern and is dropped, so a text's ids are those of
-    its pieces one after the other; pieces repeat, so most need no encoding.
+    its pieces without white space, one after the other; marks at a word's end are a piece of their own, and A-Z
+    are lower-cased as the tokenizer would. Pieces repeat, so most need no encoding; new ones are encoded together. Of the pieces known, those that have not been met for a while are forgotten.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        pieces = _PIECES.findall(text) if _SEPARATORS.search(text) else text.split()
-        return b"".join([self[p] for p in pieces])
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        lowered = [_MARKS.sub(r"\1 \2", t.encode("utf-8", "replace").lower().decode()) for t in texts]
+        split = [_PIECES.findall(t) if _SEPARATORS.search(t) else t.split() for t in lowered]
+        if len(self.known) >= REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for piece in set().union(*split) - known.keys():
+            ids = older.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                known[piece] = ids
+        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            known[piece] = np.array(found.ids, "<u4").tobytes()
+        return [b"".join([known[p] for p in pieces]) for pieces in split]
 
 
 @lru_cache(maxsize=2)
@@ -78,7 +86,7 @@ def token_streams(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_i
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 some = batch.slice(at, SLICE)
-                ids = [known.of(t) + end for t in some.column("text").to_pylist()]
+                ids = [x + end for x in known.of(some.column("text").to_pylist())]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 starts = before + np.cumsum(sizes) - sizes
                 before += int(sizes.sum())
