@@ -5,9 +5,9 @@ agree in a band of their signatures are candidates. Of a candidate pair, batches
 are compared one after the other, and it is dropped as soon as the posterior probability that its similarity
 reaches the threshold falls below the miss probability; survivors are verified on their full sets.
 
-Not all pairs of a bucket are compared: first each member meets the bucket's smallest one, and the links
-found join classes into groups. Only members of a bucket that are then in different groups meet each other, tile
-by tile. That gives the same groups as comparing every pair.
+Not all pairs of a bucket are compared: first, a few times, each member meets one member drawn by a hash, and the
+links found join classes into groups. Only members of a bucket that are then in different groups meet each other,
+tile by tile. That gives the same groups as comparing every pair.
 """
 
 from __future__ import annotations
@@ -186,9 +186,8 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int
     return both.mapInArrow(prune, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, percent: int, id: str, text: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; sets are made anew from the texts of the pairs' classes."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def class_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, size: int, id: str, text: str) -> DataFrame:
+    """(node, hashes): the full shingle sets of the classes ``wanted``, made anew from their texts."""
     wanted = wanted.join(reps, "node")
     bodies = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     found = bodies.join(wanted, bodies["id"].eqNullSafe(wanted["id"]) & (bodies["text_hash"] == wanted["text_hash"])).select("node", "text")
@@ -201,7 +200,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
                 yield pa.RecordBatch.from_arrays([some.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     # A row that repeats id and text gives its class again.
-    sets = stored(found.mapInArrow(to_sets, "node binary, hashes binary"), "shingle-sets").dropDuplicates(["node"])
+    return stored(found.mapInArrow(to_sets, "node binary, hashes binary").dropDuplicates(["node"]), "shingle-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     both = (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("h_a")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("h_b")), "b")
@@ -220,13 +223,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int, per
 
 
 def _pairs_across_groups(members: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int, ...], percent: int, tile: int) -> DataFrame:
-    """Pairs (a, b) from buckets (key, node, group) whose members are of several groups, each pair of such members once or more."""
+    """Pairs (a, b) from buckets (key, node, group) whose members are of several groups; a pair comes from the first bucket it shares."""
     open_ = (
         members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles"))
         .where("low < high").select("key", "tiles")
     )
     dealt = (
-        members.join(open_, "key").join(nodes.select("node", "n", "signature"), "node")
+        members.join(open_, "key").join(nodes.select("node", "n", "signature", "keys"), "node")
         .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
@@ -239,6 +242,7 @@ def _pairs_across_groups(members: DataFrame, nodes: DataFrame, batch: int, neede
             nodes_, n, tiles = run.column("node").combine_chunks(), run.column("n").to_numpy(), run.column("tile").to_numpy()
             groups = run.column("group").combine_chunks().dictionary_encode().indices.to_numpy()
             signs = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.uint8).reshape(run.num_rows, -1)
+            keys, key = run.column("keys").combine_chunks().flatten().to_numpy().reshape(run.num_rows, -1), run.column("key")[0].as_py()
             two = run.column("low")[0] != run.column("high")[0]
             for i in range(run.num_rows):
                 fits = (groups != groups[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
@@ -247,14 +251,23 @@ def _pairs_across_groups(members: DataFrame, nodes: DataFrame, batch: int, neede
                     fits &= tiles != tiles[i]
                 j = np.flatnonzero(fits)
                 j = j[plausible(np.broadcast_to(signs[i], (len(j), signs.shape[1])), signs[j], batch, needed)]
+                shared = keys[j] == keys[i]
+                j = j[keys[i][shared.argmax(axis=1)] == key]
                 if len(j):
                     yield pa.RecordBatch.from_arrays([pa.array([nodes_[i].as_py()] * len(j), pa.binary()), nodes_.take(pa.array(j))], ["a", "b"])
 
-    rows = dealt.select("key", "node", "group", "n", "signature", "tile", "low", "high")
+    rows = dealt.select("key", "node", "group", "n", "signature", "keys", "tile", "low", "high")
     found = in_groups(rows, ["key", "low", "high"]).mapInArrow(compare, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _placed(members: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """(key, node, group): a class that is in no group yet is its own."""
+    if groups is None:
+        return members.withColumn("group", F.col("node"))
+    return members.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("group"))
+
+
 def near_documents(
     docs: DataFrame,
     size: int = 5,
@@ -263,6 +276,7 @@ def near_documents(
     rows: int = 5,
     batch: int = 25,
     miss: float = 1e-7,
+    hubs: int = 3,
     tile: int = 512,
     id: str = "doc_id",
     text: str = "text",
@@ -279,7 +293,8 @@ def near_documents(
 
     A pair of similarity s escapes all bands with probability (1 - s**rows)**bands: 1.2e-7 at 0.8, less above.
     ``batch`` positions are compared at a time; ``miss`` bounds the posterior probability at which a pair is
-    given up.
+    given up. ``hubs`` is how often members meet a drawn one before the rest is compared; it changes the work, not
+    the result.
     """
     signer = Signer(bands, rows)
     positions = bands * rows
@@ -293,18 +308,25 @@ def near_documents(
     nodes = stored(of_reps.select("s.node", "s.n", "s.keys", "s.signature").dropDuplicates(["node"]), "class-signatures")
 
     banded = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub")
-    members = stored(banded.join(buckets, "key").where("node <> hub"), "buckets")
+    buckets = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    members = stored(banded.join(buckets, "key"), "buckets")
+    sets = class_sets(members.select("node").distinct(), docs, reps, size, id, text)
 
     def links(pairs: DataFrame) -> DataFrame:
-        survivors = stored(_surviving(pairs, nodes, batch, needed, percent), "candidates")
-        return stored(_verified(survivors, docs, reps, size, percent, id, text), "links")
-
-    found = links(members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    grouped = components(found)
-    in_group = members.join(grouped, "node", "left").select("key", "node", F.coalesce("component", "node").alias("group"))
-    across = stored(_pairs_across_groups(in_group, nodes, batch, needed, percent, tile), "candidates")
-    more = stored(_verified(across, docs, reps, size, percent, id, text), "links")
+        return stored(_verified(stored(pairs, "candidates"), sets, percent), "links")
+
+    found, groups = None, None
+    for turn in range(hubs):
+        placed = _placed(members, groups)
+        hub = placed.groupBy("key").agg(F.min_by(F.struct("node", "group"), F.xxhash64("node", F.lit(turn))).alias("hub"))
+        pairs = (
+            placed.join(hub, "key").where("group <> hub.group")
+            .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        )
+        more = links(_surviving(pairs, nodes, batch, needed, percent))
+        found = more if found is None else found.unionByName(more)
+        groups = components(found)
+    more = links(_pairs_across_groups(_placed(members, groups), nodes, batch, needed, percent, tile))
     groups = components(found.unionByName(more))
 
     labelled = signed.select("id", "text_hash", "n", "node").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
