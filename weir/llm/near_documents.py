@@ -203,6 +203,12 @@ def class_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, size: int, i
     return stored(found.mapInArrow(to_sets, "node binary, hashes binary").dropDuplicates(["node"]), "shingle-sets")
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` of their union or more."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     both = (
@@ -215,21 +221,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for a, b in zip(batch.column("h_a"), batch.column("h_b")):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
+                keep.append(similar(a, b, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(compare, "a binary, b binary")
 
 
-def _pairs_across_groups(members: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int, ...], percent: int, tile: int) -> DataFrame:
-    """Pairs (a, b) from buckets (key, node, group) whose members are of several groups; a pair comes from the first bucket it shares."""
+def _links_across_groups(members: DataFrame, nodes: DataFrame, sets: DataFrame, batch: int, needed: tuple[int, ...], percent: int, tile: int) -> DataFrame:
+    """Verified pairs (a, b) of members of different groups, from buckets (key, node, group); a pair is looked at in the first bucket it shares.
+
+    The full sets travel with the members, so that no pair leaves its task unless it is a link.
+    """
     open_ = (
         members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles"))
         .where("low < high").select("key", "tiles")
     )
     dealt = (
-        members.join(open_, "key").join(nodes.select("node", "n", "signature", "keys"), "node")
+        members.join(open_, "key").join(nodes.select("node", "n", "signature", "keys"), "node").join(sets, "node")
         .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
@@ -242,6 +250,7 @@ def _pairs_across_groups(members: DataFrame, nodes: DataFrame, batch: int, neede
             nodes_, n, tiles = run.column("node").combine_chunks(), run.column("n").to_numpy(), run.column("tile").to_numpy()
             groups = run.column("group").combine_chunks().dictionary_encode().indices.to_numpy()
             signs = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.uint8).reshape(run.num_rows, -1)
+            hashes = [np.frombuffer(h, np.uint64) for h in run.column("hashes").to_pylist()]
             keys, key = run.column("keys").combine_chunks().flatten().to_numpy().reshape(run.num_rows, -1), run.column("key")[0].as_py()
             two = run.column("low")[0] != run.column("high")[0]
             for i in range(run.num_rows):
@@ -253,10 +262,11 @@ def _pairs_across_groups(members: DataFrame, nodes: DataFrame, batch: int, neede
                 j = j[plausible(np.broadcast_to(signs[i], (len(j), signs.shape[1])), signs[j], batch, needed)]
                 shared = keys[j] == keys[i]
                 j = j[keys[i][shared.argmax(axis=1)] == key]
+                j = j[[similar(hashes[i], hashes[x], percent) for x in j]] if len(j) else j
                 if len(j):
                     yield pa.RecordBatch.from_arrays([pa.array([nodes_[i].as_py()] * len(j), pa.binary()), nodes_.take(pa.array(j))], ["a", "b"])
 
-    rows = dealt.select("key", "node", "group", "n", "signature", "keys", "tile", "low", "high")
+    rows = dealt.select("key", "node", "group", "n", "signature", "keys", "hashes", "tile", "low", "high")
     found = in_groups(rows, ["key", "low", "high"]).mapInArrow(compare, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -276,7 +286,7 @@ def near_documents(
     rows: int = 5,
     batch: int = 25,
     miss: float = 1e-7,
-    hubs: int = 3,
+    hubs: int = 5,
     tile: int = 512,
     id: str = "doc_id",
     text: str = "text",
@@ -319,14 +329,14 @@ def near_documents(
     for turn in range(hubs):
         placed = _placed(members, groups)
         hub = placed.groupBy("key").agg(F.min_by(F.struct("node", "group"), F.xxhash64("node", F.lit(turn))).alias("hub"))
-        pairs = (
-            placed.join(hub, "key").where("group <> hub.group")
-            .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-        )
+        # Each member meets one of the members drawn in its buckets, so that a turn has no more pairs than classes.
+        met = placed.join(hub, "key").where("group <> hub.group").groupBy("node").agg(
+            F.min_by("hub.node", F.xxhash64("hub.node", F.lit(turn))).alias("drawn"))
+        pairs = met.select(F.least("node", "drawn").alias("a"), F.greatest("node", "drawn").alias("b")).distinct()
         more = links(_surviving(pairs, nodes, batch, needed, percent))
         found = more if found is None else found.unionByName(more)
         groups = components(found)
-    more = links(_pairs_across_groups(_placed(members, groups), nodes, batch, needed, percent, tile))
+    more = stored(_links_across_groups(_placed(members, groups), nodes, sets, batch, needed, percent, tile), "links")
     groups = components(found.unionByName(more))
 
     labelled = signed.select("id", "text_hash", "n", "node").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
