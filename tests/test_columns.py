@@ -186,3 +186,10 @@ def test_arrival_time(spark):
     options = AggregationOptions(timestamp_field=None)
     row = web_etl.keyed_events(raw, "payload", options, arrival=F.col("seen")).first()
     assert (row.ts, row.pk, row.sk) == (datetime(2024, 5, 1, 10, 0, 30), "NotFound", "127.0.0.1")
+
+
+def test_keys_of_another_form_are_null(spark):
+    row = spark.sql("SELECT 'p' AS pk, CAST(NULL AS TIMESTAMP) AS ts, CAST(NULL AS STRING) AS none, TIMESTAMP '2024-01-01' AS at, 'foreign' AS key")
+    pk, ts = keys.split_row_key(F.col("key"))
+    found = row.select(keys.row_key(F.col("pk"), F.col("ts")), keys.row_key(F.col("none"), F.col("at")), pk, ts).first()
+    assert tuple(found) == (None, None, None, None)

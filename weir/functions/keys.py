@@ -22,7 +22,8 @@ def default_null_key(key: Column, default: str = MISSING_KEY) -> Column:
 
 
 def row_key(pk: Column, ts: Column) -> Column:
-    return F.concat_ws(KEY_DELIMITER, pk, F.date_format(ts, ROW_KEY_TIMESTAMP_FORMAT))
+    """NULL if either part is."""
+    return F.concat(pk.cast("string"), F.lit(KEY_DELIMITER), F.date_format(ts, ROW_KEY_TIMESTAMP_FORMAT))
 
 
 def column_key(sk: Column, family: str = COLUMN_FAMILY) -> Column:
@@ -30,10 +31,10 @@ def column_key(sk: Column, family: str = COLUMN_FAMILY) -> Column:
 
 
 def split_row_key(key: Column) -> tuple[Column, Column]:
-    """(primary key, timestamp); the primary key may itself hold the delimiter."""
+    """(primary key, timestamp); the primary key may itself hold the delimiter. NULLs for a key of another form."""
     pattern = rf"(?s)^(.*){KEY_DELIMITER}(\d{{14}})$"
     return (
-        F.regexp_extract(key, pattern, 1),
+        F.when(key.rlike(pattern), F.regexp_extract(key, pattern, 1)),
         F.try_to_timestamp(F.regexp_extract(key, pattern, 2), F.lit(ROW_KEY_TIMESTAMP_FORMAT)),
     )
 
