@@ -41,7 +41,8 @@ def test_files_hold_67_words(spark):
     assert dict(tuples(words.file_word_count(lines, "file", "line"))) == {"0": 13, "1": 32, "2": 22}
 
 
-def test_running_word_count(spark):
+@pytest.mark.parametrize("span", [1, 7 * 10**12, 10**15])
+def test_running_word_count(spark, span):
     rng = random.Random(1)
     docs = [(i * 10**12, " ".join(rng.choice(["the", "the", "", "cow", "jumped", "é"]) for _ in range(rng.randrange(20)))) for i in range(60)]
     expected, seen = [], {}
@@ -49,40 +50,23 @@ def test_running_word_count(spark):
         for word in filter(None, text.split(" ")):
             seen[word] = seen.get(word, 0) + 1
             expected.append((doc, word, seen[word]))
-    found = words.running_word_count(spark.createDataFrame(docs, "id long, text string"), "id", "text")
+    found = words.running_word_count(spark.createDataFrame(docs, "id long, text string"), "id", "text", span)
     assert tuples(found) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("slices", [None, 1, 2, 50, 1024])
-def test_running_sum_with_a_hot_key(spark, slices):
+@pytest.mark.parametrize(("span", "levels"), [(64, 1), (64, 2), (3, 3), (5000, 2), (10**6, 2)])
+def test_running_sum_with_a_hot_key(spark, span, levels):
     """Negative, then far apart orders; one key NULL."""
     rng = random.Random(2)
-    places = [i - 100 if slices is None else (i - 100) ** 3 for i in range(1500)]
+    places = [(i - 100 if span < 1000 else (i - 100) ** 3) for i in range(1500)]
     rows = [(key or None, place, rng.randrange(-5, 9)) for place, key in zip(places, hot(rng, 1500, 7), strict=True)]
     expected, totals = [], {}
     for key, order, value in rows:
         totals[key] = totals.get(key, 0) + value
         expected.append((key, order, value, totals[key]))
     df = spark.createDataFrame(rows, "key int, pos long, v int").repartition(5)
-    if slices is None:
-        found = running.running_sum(df, "v", "pos", by=["key"], span=64)
-    else:
-        found = running.running_sum(df, "v", "pos", by=["key"], slice_of=running.quantile_slices(df, "pos", slices, rows_per_slice=1))
-    assert tuples(found) == sorted(expected, key=repr)
-
-
-def test_quantile_slices(spark):
-    """Slices rise with the order and are about equally large, however the values are spread."""
-    df = spark.range(20_000).select((F.col("id") * F.col("id") - 5000).alias("pos"))
-    sliced = df.select("pos", running.quantile_slices(df, "pos", 100, rows_per_slice=1).alias("slice"))
-    sizes = sliced.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"))
-    found = sizes.orderBy("slice").collect()
-    assert [r.slice for r in found] == list(range(100))
-    assert all(150 < r.n < 250 for r in found)
-    assert all(a.high < b.low for a, b in itertools.pairwise(found))
-    assert df.select(running.quantile_slices(df, "pos").alias("slice")).distinct().count() == 4
-    none = spark.createDataFrame([], "pos long")
-    assert none.select(running.quantile_slices(none, "pos")).count() == 0
+    assert tuples(running.running_sum(df, "v", "pos", ["key"], span, levels)) == sorted(expected, key=repr)
+    assert running.running_sum(df.limit(0), "v", "pos", ["key"], span, levels).count() == 0
 
 
 def test_running_total_counts_ticks_once(spark, sf_dir):
@@ -104,8 +88,8 @@ def test_replayed_batches_add_nothing(spark):
     assert tuples(aggregate.committed_total(attempts, "batch", "cnt", "attempt")) == [(1, 5, 5), (2, 3, 8), (4, 1, 9)]
 
 
-@pytest.mark.parametrize("n", [3, 1500, 0])
-def test_top_n(spark, n):
+@pytest.mark.parametrize(("n", "salts"), [(3, 1), (3, 8), (1500, 8), (0, 1)])
+def test_top_n(spark, n, salts):
     """Both forms of the ranking, ties broken by the smaller key, a hot group."""
     rng = random.Random(3)
     rows = [(g, rng.randrange(50), i) for i, g in enumerate(hot(rng, 6000, 4))]
@@ -113,7 +97,7 @@ def test_top_n(spark, n):
     for _, group in itertools.groupby(sorted(rows), key=lambda r: r[0]):
         best = sorted(group, key=lambda r: (-r[1], r[2]))
         expected += best[:n] if n else best
-    found = rank.top_n(spark.createDataFrame(rows, "g int, v int, k int"), ["g"], "v", "k", n)
+    found = rank.top_n(spark.createDataFrame(rows, "g int, v int, k int"), ["g"], "v", "k", n, salts)
     assert tuples(found) == sorted(expected, key=repr)
 
 
@@ -208,13 +192,13 @@ def test_range_ends(spark):
 
 
 def test_wide_rows_split_into_parts(spark):
-    """A row with a third of all cells becomes several bounded maps that hold every cell once."""
+    """Every row is dealt to maps that hold each cell once; a row with a third of all cells to equal shares."""
     rng = random.Random(4)
     rows = [(f"r{k}", f"v:{i}", float(i)) for i, k in enumerate(hot(rng, 6000, 2000))]
     cells = spark.createDataFrame(rows, "row_key string, column_key string, value double")
-    maps = keyed.cells_to_map(cells, max_cells=100).collect()
+    maps = keyed.cells_to_map(cells, parts=20).collect()
     assert max(len(m.cells) for m in maps) < 200
-    assert {m.part for m in maps if m.row_key != "r0"} == {0}
+    assert {m.part for m in maps if m.row_key == "r0"} == set(range(20))
     assert sorted((m.row_key, c, v) for m in maps for c, v in m.cells.items()) == sorted(rows)
 
 
@@ -244,7 +228,7 @@ def test_bulk_pack(spark, docs, chars):
     rows = [(i, "x" * rng.randrange(30)) for i in range(500)] + [(1000, "y" * 99)]
     frame = spark.createDataFrame([*rows, (1001, None)], "id long, text string").repartition(7)
     packed = bulk_pack(frame, "id", "text", docs, chars, buckets=4).collect()
-    assert sorted(d for p in packed for d in p.docs) == sorted(t for _, t in rows)
+    assert sorted(d for p in packed for d in p.docs) == sorted(["", *(t for _, t in rows)])
     for p in packed:
         assert p.n_docs == len(p.docs) <= docs and p.n_chars == sum(map(len, p.docs))
         assert p.n_chars - len(p.docs[-1]) < chars
@@ -254,6 +238,15 @@ def test_bulk_pack(spark, docs, chars):
         assert all(p.n_docs == docs or p.n_chars >= chars for p in group[:-1])
 
 
+def test_bulk_pack_asks_for_buckets(spark):
+    frame = spark.createDataFrame([(1, "a"), (None, "b"), (None, None)], "id long, text string")
+    for wrong in ({}, {"bucket": F.lit(0), "buckets": 2}):
+        with pytest.raises(ValueError, match="bucket"):
+            bulk_pack(frame, "id", "text", **wrong)
+    assert sum(p.n_docs for p in bulk_pack(frame, "id", "text", buckets=3).collect()) == 3
+    assert bulk_pack(frame.limit(0), "id", "text", buckets=3).count() == 0
+
+
 def test_bulk_pack_keeps_id_order(spark):
     frame = spark.createDataFrame([(i, f"{i:04}") for i in range(1000)], "id long, text string").repartition(9)
     packed = bulk_pack(frame, "id", "text", max_docs=7, bucket=F.lit(0)).orderBy("payload_no").collect()

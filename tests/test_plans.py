@@ -38,7 +38,6 @@ def test_scans_read_only_what_is_used(spark, sf_dir, name, columns):
     [
         ("p8_key_equals", "EqualTo(c_mktsegment,BUILDING)"),
         ("s5_start_time_filter", "GreaterThanOrEqual(ts,2024-01-15T06:00)"),
-        ("j3_lookup_rowkey", "EqualTo(event_type,signup), GreaterThan(value,200.0)"),
     ],
 )
 def test_filters_reach_the_scan(spark, sf_dir, name, filters):
@@ -51,6 +50,22 @@ def test_counts_combine_before_the_shuffle(spark, sf_dir):
     assert text.index("Exchange") < text.index("partial_count")
 
 
+def final_plan(spark, sf_dir, name):
+    df = load_all()[name].run(spark, sf_dir)
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_running_words_shuffle_once_without_python(spark, sf_dir):
+    text = final_plan(spark, sf_dir, "a9_running_word_count")
+    assert "ReusedExchange" in text and "Python" not in text and "InArrow" not in text
+
+
+def test_updates_are_read_once(spark, sf_dir):
+    """The base, and the two copies of it that the changes are made from."""
+    assert final_plan(spark, sf_dir, "k5_upsert").count("Scan parquet") == 3
+
+
 def test_payloads_are_parsed_once(spark, sf_dir):
     for name in ("p1_parse_json_typed", "plan_web_etl", "p2_extract_paths"):
         assert plan(spark, sf_dir, name).count("from_json(") == 1

@@ -91,7 +91,7 @@ def a8_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({_WORDS}) WHERE word <> ''
 """)
 def a9_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.running_word_count(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return words.running_word_count(table(spark, sf_dir, "documents"), "doc_id", "text", span=128)
 
 
 @query("SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes FROM documents")
@@ -141,12 +141,15 @@ def a14_column_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT row_key, 0 AS part,
+    SELECT row_key,
            '{{' || string_agg('"' || column_key || '":' || value, ',' ORDER BY column_key) || '}}' AS cells
     FROM ({DAILY_CELLS}) GROUP BY row_key
 """)
 def a15_cells_to_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.cells_to_map(daily_cells(spark, sf_dir)).withColumn("cells", F.to_json("cells"))
+    """Rows cut into four maps, which hold every cell once: joined again, they are the whole row."""
+    maps = keyed.cells_to_map(daily_cells(spark, sf_dir), parts=4)
+    joined = F.sort_array(F.flatten(F.collect_list(F.map_entries("cells"))))
+    return maps.groupBy("row_key").agg(F.to_json(F.map_from_entries(joined)).alias("cells"))
 
 
 @query("SELECT min(ts) AS min_timestamp FROM events")

@@ -45,16 +45,15 @@ def j2_lookup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT event_id, key, column_key, cell.value
-    FROM (SELECT event_id, event_type || '#' || strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') AS key
-          FROM events WHERE event_type = 'signup' AND value > 200)
+    SELECT key, events, column_key, cell.value
+    FROM (SELECT event_type || '#' || strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') AS key, count(*) AS events
+          FROM events GROUP BY ALL)
     JOIN ({DAILY_CELLS}) AS cell ON key = row_key
 """)
 def j3_lookup_rowkey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day's cells for each large signup."""
-    day = F.date_trunc("day", F.col("ts"))
-    large = table(spark, sf_dir, "events").where("event_type = 'signup' and value > 200")
-    wanted = large.select("event_id", row_key(F.col("event_type"), day).alias("key"))
+    """The stored cells of every row key that events have, with the number of these events."""
+    key = row_key(F.col("event_type"), F.date_trunc("day", F.col("ts"))).alias("key")
+    wanted = table(spark, sf_dir, "events").groupBy(key).agg(F.count(F.lit(1)).alias("events"))
     return enrich.lookup_rowkey(wanted, daily_cells(spark, sf_dir), "key")
 
 

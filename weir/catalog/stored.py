@@ -76,9 +76,10 @@ def k9_document_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "document")
 
 
-@query("""
+def _packed(bucket: str) -> str:
+    return f"""
     WITH RECURSIVE docs AS (
-        SELECT doc_id // 250 AS bucket, row_number() OVER (PARTITION BY doc_id // 250 ORDER BY doc_id) AS place,
+        SELECT {bucket} AS bucket, row_number() OVER (PARTITION BY {bucket} ORDER BY doc_id) AS place,
                text, length(text) AS chars
         FROM documents),
     packed AS (
@@ -92,14 +93,26 @@ def k9_document_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT bucket, CAST(payload_no AS BIGINT) AS payload_no, count(*) AS n_docs,
            CAST(sum(length(text)) AS BIGINT) AS n_chars, md5(string_agg(text, chr(1) ORDER BY place)) AS docs_md5
     FROM packed GROUP BY ALL
-""")
-def k10_bulk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    packed = bulk_pack(docs, "doc_id", "text", bucket=F.expr("doc_id div 250"))
+"""
+
+
+def _payload_digests(packed: DataFrame) -> DataFrame:
     joined = F.md5(F.array_join("docs", "\u0001").cast("binary")).alias("docs_md5")
     return packed.select("bucket", "payload_no", "n_docs", "n_chars", joined)
 
 
+@query(_packed("doc_id // 250"))
+def k10_bulk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _payload_digests(bulk_pack(docs, "doc_id", "text", bucket=F.expr("doc_id div 250")))
+
+
+@query(_packed("CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 16"))
+def k10_bulk_pack_dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents dealt by their ids' hash."""
+    return _payload_digests(bulk_pack(table(spark, sf_dir, "documents"), "doc_id", "text", buckets=16))
+
+
 @query("""
     SELECT CAST(event_id % 4 AS INTEGER) AS "partition", '[' || event_id || ',"' || event_type || '",' || value || ']' AS value
     FROM events

@@ -195,14 +195,14 @@ def t6_replay_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark, "unique")
     events = utc(table_stream(spark, sf_dir, "events")).select("event_id", "ts", "event_type")
     replayed = events.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).drop("_copy")
-    run.to_files(dedup(replayed, "event_id", "ts", MINUTE), out, _options(spark)).awaitTermination()
+    run.to_files(dedup(replayed, "event_id", "ts", MINUTE, spark.sparkContext.defaultParallelism), out, _options(spark)).awaitTermination()
     return spark.read.parquet(out).select("event_id", "event_type")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def t6_batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return dedup(events.unionByName(events), "event_id", "ts", MINUTE)
+    return dedup(events.unionByName(events), "event_id", "ts", MINUTE, salts=1)
 
 
 @query("""
@@ -317,6 +317,6 @@ def s2_text_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM documents GROUP BY ALL
 """)
 def s3_binary_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = logs.binary_log_source(spark, "files", _log_files(spark, sf_dir))
+    log = logs.binary_log_source(spark, "files", _log_files(spark, sf_dir), LogOptions(max_per_trigger=2))
     sizes = _read_log(spark, log.select("partition", F.octet_length("value").alias("size")))
     return sizes.groupBy("partition").agg(F.sum("size").alias("bytes"))

@@ -6,29 +6,31 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.keys import COLUMN_FAMILY, column_key, row_key
-from weir.operators.enrich import anti_by_key, lookup_join
+from weir.operators.enrich import anti_by_key
 from weir.operators.select import positional_rename
 
 CELL = ["row_key", "column_key"]
 
 
-def latest_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The last row of each key; rows with a NULL in the key are all kept, NULL equalling nothing."""
-    unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
-    apart = F.when(unkeyed, F.monotonically_increasing_id())
-    newest = Window.partitionBy(*keys, "_apart").orderBy(*[F.desc(o) if isinstance(o, str) else o.desc() for o in order])
-    ranked = updates.withColumn("_apart", apart).withColumn("_rank", F.row_number().over(newest))
-    return ranked.where("_rank = 1").drop("_rank", "_apart")
-
-
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """``base`` (one row per key) with the last update of each key replacing its row or added as new."""
-    latest = latest_per_key(updates, keys, order).select(*base.columns)
-    return anti_by_key(base, latest, keys).unionByName(latest)
+    """``base`` (one row per key) with the last update of each key replacing its row or added as new.
+
+    Both sides are read once and combined before the shuffle, so a key with many updates does not travel
+    whole. Rows with a NULL in the key are all kept, NULL equalling nothing.
+    """
+    ranks = [(F.col(o) if isinstance(o, str) else o).alias(f"_by{i}") for i, o in enumerate(order)]
+    row = F.struct(*[F.col(c) for c in base.columns]).alias("_row")
+    new = updates.select(row, F.struct(F.lit(True).alias("_new"), *ranks).alias("_at"))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in new.schema["_at"].dataType.fields[1:]]
+    old = base.select(row, F.struct(F.lit(False).alias("_new"), *none).alias("_at"))
+    key = [F.col("_row")[k].alias(f"_key{i}") for i, k in enumerate(keys)]
+    unkeyed = reduce(or_, [F.col("_row")[k].isNull() for k in keys])
+    both = old.unionByName(new).withColumn("_apart", F.when(unkeyed, F.monotonically_increasing_id()))
+    return both.groupBy(*key, "_apart").agg(F.max_by("_row", "_at").alias("_row")).select("_row.*")
 
 
 def delete_by_key(base: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -82,17 +84,12 @@ def point_scan(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.where(F.col("row_key").isin(*keys))
 
 
-def cells_to_map(cells: DataFrame, max_cells: int = 10_000) -> DataFrame:
-    """(row_key, part, cells): map of column key to summed value.
+def cells_to_map(cells: DataFrame, parts: int) -> DataFrame:
+    """(row_key, part, cells): maps of column key to summed value, the cells of a row dealt to ``parts`` maps by hash.
 
-    A row is one map (part 0) unless it is wider than ``max_cells``; then its cells are spread by hash over
-    as many parts as it needs, so that no task builds an unbounded map.
+    Every row is dealt alike. A map holds about a ``parts``-th of its row, so choose ``parts`` by the widest
+    row expected; for rows of any width :func:`sum_cells`, a row per cell, is the answer.
     """
-    summed = sum_cells(cells)
-    # Counting the values keeps that column in both uses of the sums, so that they are computed once.
-    parts = summed.groupBy("row_key").agg(F.ceil(F.count("value") / F.lit(max_cells)).alias("_parts"))
-    placed = lookup_join(summed, parts, ["row_key"], "inner").withColumn(
-        "part", F.pmod(F.xxhash64("column_key"), F.greatest("_parts", F.lit(1))).cast("int")
-    )
+    part = F.pmod(F.xxhash64("column_key"), F.lit(parts)).cast("int").alias("part")
     entries = F.sort_array(F.collect_list(F.struct("column_key", "value")))
-    return placed.groupBy("row_key", "part").agg(F.map_from_entries(entries).alias("cells"))
+    return sum_cells(cells).groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))

@@ -48,18 +48,25 @@ def bulk_pack(
     max_docs: int = MAX_DOCS,
     max_chars: int = MAX_CHARS,
     bucket: Column | None = None,
-    buckets: int = 1024,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(bucket, payload_no, docs, n_docs, n_chars): documents in id order, packed greedily per bucket.
 
     The size is tested before a document is added, so a payload may pass ``max_chars`` by its last
-    document. Packing is sequential, so documents are dealt into buckets by the hash of their id, which
-    no hot value can unbalance; rows stream through, only the open payload is held. NULL texts have
-    nothing to upload and are left out.
+    document. A NULL text is an empty document.
+
+    Packing is sequential within a bucket, so the number of buckets is how many tasks can work: give
+    ``buckets`` by the size of the data, and documents are dealt by the MD5 of their id as text (those
+    without an id go to bucket 0), or give a ``bucket`` of your own. Rows stream through, only the open
+    payload is held.
     """
-    bucket = F.pmod(F.xxhash64(id), F.lit(buckets)).cast("long") if bucket is None else bucket.cast("long")
-    dealt = docs.where(F.col(text).isNotNull()).select(
-        bucket.alias("bucket"), F.col(id).alias("id"), F.col(text).alias("doc")
+    if (bucket is None) == (buckets is None):
+        raise ValueError("give either bucket or buckets")
+    if bucket is None:
+        digest = F.conv(F.substring(F.md5(F.col(id).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+        bucket = F.coalesce(digest % buckets, F.lit(0))
+    dealt = docs.select(
+        bucket.cast("long").alias("bucket"), F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("doc")
     )
     ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "id").select("bucket", "doc")
     return ordered.mapInPandas(

@@ -13,15 +13,16 @@ def _first_rows(df: DataFrame, by: Sequence[str], value: str, tie: str, n: int)
     return df.withColumn("_rank", F.row_number().over(ranking)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def top_n(df: DataFrame, by: Sequence[str], value: str, tie: str, n: int = 100, salts: int = 64) -> DataFrame:
+def top_n(df: DataFrame, by: Sequence[str], value: str, tie: str, n: int = 100, salts: int = 1) -> DataFrame:
     """Per group the ``n`` rows with the largest value, ties by ``tie`` ascending; n <= 0 keeps all.
 
-    Below Spark's group-limit threshold each map task already keeps only ``n`` rows per group, so a hot
-    group never travels whole. Above it the same is done in a salted first round.
+    Each map task keeps only ``n`` rows per group (Spark's group limit), so a hot group never travels
+    whole. Spark does that for ``n`` below ``spark.sql.optimizer.windowGroupLimitThreshold``; for a larger
+    one give ``salts``, over how many tasks a first round spreads each group, at the cost of a shuffle more.
     """
     if n <= 0:
         return df
-    if n >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+    if salts > 1:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(tie), F.lit(salts)))
         df = _first_rows(salted, [*by, "_salt"], value, tie, n).drop("_salt")
     return _first_rows(df, by, value, tie, n)

@@ -1,4 +1,4 @@
-"""Running sums that no single task has to walk through (W4, and the base of A7, A9, A12).
+"""Running sums that no single task has to walk through (W4, and the base of A7, A12).
 
 A window over a whole key - or over the whole table - would put a hot key's rows into one task. Here each
 key's rows are cut into slices along the order; sums run inside every slice and start from what the
@@ -8,43 +8,26 @@ earlier slices hold.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SLICE, _WEIGHT, _IS_ROW = "_slice", "_weight", "_is_row"
+_SLICE, _WEIGHT, _IS_ROW, _PLACE, _TOTAL, _EARLIER = "_slice", "_weight", "_is_row", "_place", "_total", "_earlier"
 
 
-def running_sum(
-    df: DataFrame,
-    value: str,
-    order: str,
-    by: Sequence[str] = (),
-    span: int = 4096,
-    slice_of: Column | None = None,
-    out: str = "running_total",
-) -> DataFrame:
-    """Running sum of ``value`` along ``order``, which is unique per key and not NULL.
-
-    A slice is ``span`` consecutive values of an integer order, which suits orders without large gaps
-    (ticks, batch numbers): it holds at most ``span`` rows of a key, and the step over slice sums sees
-    one row per ``span`` orders. For other orders pass ``slice_of``, a number that never falls as the
-    order grows (see :func:`quantile_slices`).
-
-    What the earlier slices hold enters as one more row at the head of each slice. Unlike a join this
-    needs no second shuffle of the rows, and adds no filter that would make the two uses of ``df`` differ
-    and be computed twice.
-    """
-    slices = F.expr(f"`{order}` div {span}") if slice_of is None else slice_of
-    rows = df.withColumns({_SLICE: slices, _WEIGHT: F.col(value), _IS_ROW: F.lit(True)})
-    totals = rows.groupBy(*by, _SLICE).agg(F.sum(_WEIGHT).alias("_total"))
-    earlier = Window.partitionBy(*by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    heads = totals.select(*by, _SLICE, F.sum("_total").over(earlier).alias(_WEIGHT)).where(F.col(_WEIGHT).isNotNull())
+def _summed(df: DataFrame, value: str, order: str, by: list[str], span: int, levels: int, out: str, last: int) -> DataFrame:
+    """Sum of ``value`` from the key's first row to ``last`` rows after each row."""
+    if levels == 0:
+        upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+        return df.withColumn(out, F.sum(value).over(upto))
+    rows = df.withColumns({_SLICE: F.expr(f"`{order}` div {span}"), _WEIGHT: F.col(value), _IS_ROW: F.lit(True)})
+    totals = rows.groupBy(*by, _SLICE).agg(F.sum(_WEIGHT).alias(_TOTAL)).withColumnRenamed(_SLICE, _PLACE)
+    earlier = _summed(totals, _TOTAL, _PLACE, by, span, levels - 1, _EARLIER, -1)
+    heads = earlier.select(*by, F.col(_PLACE).alias(_SLICE), F.col(_EARLIER).alias(_WEIGHT)).where(F.col(_WEIGHT).isNotNull())
     inside = (
         Window.partitionBy(*by, _SLICE)
         .orderBy(F.asc_nulls_first(_IS_ROW), order)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        .rowsBetween(Window.unboundedPreceding, last)
     )
     return (
         rows.unionByName(heads, allowMissingColumns=True)
@@ -54,27 +37,23 @@ def running_sum(
     )
 
 
-def quantile_slices(df: DataFrame, order: str, slices: int = 1024, rows_per_slice: int = 4096) -> Column:
-    """Slice number of ``order``, a number or time, cut so that slices hold about equally many rows of ``df``.
-
-    One pass over that column finds at most ``slices`` cuts, fewer if slices would get less than
-    ``rows_per_slice`` rows. The cuts become literals: every task and every retry sees the same ones, and
-    how the values are spread does not matter. A row is placed by looking through every 32nd cut, then
-    through the 32 cuts from there.
-    """
-    shares = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    quantiles = F.expr(f"percentile_approx(`{order}`, array({shares}), {10 * slices})")
-    rows, found = df.agg(F.count(order), quantiles).first()
-    wanted = max(1, min(slices, rows // rows_per_slice))
-    cuts = sorted({found[i * slices // wanted - 1] for i in range(1, wanted)})
-    if not cuts:
-        return F.lit(0)
-    step = isqrt(len(cuts)) + 1
-    value = F.col(order)
+def running_sum(
+    df: DataFrame,
+    value: str,
+    order: str,
+    by: Sequence[str] = (),
+    span: int = 4096,
+    levels: int = 2,
+    out: str = "running_total",
+) -> DataFrame:
+    """Running sum of ``value`` along ``order``, an integer that is unique per key and not NULL.
 
-    def reached(candidates: Column) -> Column:
-        return F.size(F.filter(candidates, lambda cut: cut <= value))
+    A slice is ``span`` consecutive values of the order, so it holds at most ``span`` rows of a key. The
+    sums over slices are cut in the same way, ``levels`` times in all: the last step, in one task per key,
+    sees one row per ``span ** levels`` orders. Where values lie far apart, a larger ``span`` keeps that
+    step small.
 
-    coarse = reached(F.lit(cuts[::step]))
-    fine = F.array(*[F.lit(cuts[i:i + step]) for i in range(0, len(cuts), step)])
-    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + reached(F.element_at(fine, coarse)))
+    What the earlier slices hold enters as one more row at the head of each slice. Unlike a join this
+    needs no second shuffle of the rows, and adds no filter that would make the two uses of ``df`` differ.
+    """
+    return _summed(df, value, order, list(by), span, levels, out, 0)

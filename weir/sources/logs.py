@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from weir.config import LogOptions
 from weir.functions.times import in_utc
+from weir.operators.enrich import lookup_join
 
 LOG_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),
@@ -82,8 +83,10 @@ BINARY_LOG_BATCH = 1234
 
 
 def binary_log_source(spark: SparkSession, kind: str, topic: str, options: LogOptions | None = None) -> DataFrame:
-    """The topic as bytes, a bounded number of records (files) per micro-batch."""
+    """The topic as bytes, a bounded number of records per micro-batch; of a folder, the files given by ``max_per_trigger``."""
     options = options or LogOptions()
+    if kind == "files" and not options.max_per_trigger:
+        raise ValueError("give max_per_trigger, the files per micro-batch; records of a folder are not counted")
     capped = LogOptions(**{**options.__dict__, "max_per_trigger": options.max_per_trigger or BINARY_LOG_BATCH})
     return log_source(spark, kind, topic, capped, "binary")
 
@@ -107,12 +110,12 @@ def next_ranges(latest: DataFrame, previous: DataFrame | None = None) -> DataFra
 def offset_slice(df: DataFrame, ranges: DataFrame, partition: str = "partition", offset: str = "offset") -> DataFrame:
     """Log rows inside their partition's [begin, end) range.
 
-    The ranges are broadcast: they are one row per partition of the log, a number set when it is created.
-    Left to estimates, ranges computed from the log itself would look as large as the log and shuffle it.
+    ``ranges`` is one row per partition of the log. Spark broadcasts it while its size is below the session's
+    threshold; otherwise AQE splits the log's large partitions.
     """
     bounds = ranges.select(F.col("partition").alias(partition), "begin_offset", "end_offset")
     inside = (F.col(offset) >= F.col("begin_offset")) & (F.col(offset) < F.col("end_offset"))
-    return df.join(F.broadcast(bounds), partition).where(inside).drop("begin_offset", "end_offset")
+    return lookup_join(df, bounds, [partition], "inner").where(inside).drop("begin_offset", "end_offset")
 
 
 def since(df: DataFrame, ts: str, start: datetime | None) -> DataFrame:

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from weir.functions.times import duration
 
 
-def dedup(df: DataFrame, id: str, ts: str, delay: timedelta, salts: int = 8) -> DataFrame:
+def dedup(df: DataFrame, id: str, ts: str, delay: timedelta, salts: int) -> DataFrame:
     """One row per id; in a stream, of copies that arrive within ``delay`` of each other in event time.
 
     Streaming deduplication has no map-side combine. Copies are therefore first deduplicated within a
     random salt, which spreads a much-copied id over ``salts`` tasks, then across salts. Salts only
-    decide which task sees a row, never which ids survive. ``salts=1`` saves the first round's state
-    where ids are known to repeat rarely.
+    decide which task sees a row, never which ids survive. Choose them by the tasks of the cluster; the
+    first round keeps a second state and shuffles every row once more, which ``salts=1`` saves where ids
+    are known to repeat rarely. A batch combines before its one shuffle and needs no salts.
     """
     if not df.isStreaming:
         return df.dropDuplicates([id])
