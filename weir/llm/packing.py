@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -57,14 +58,14 @@ class WordIds:
         if len(self.known) >= REMEMBERED:
             self.known, self.older = {}, self.known
         known, older, new = self.known, self.older, []
-        for piece in set().union(*split) - known.keys():
+        for piece in set().union(*split).difference(known):  # unlike "-", this looks up the batch's pieces only
             ids = older.get(piece)
             if ids is None:
                 new.append(piece)
             else:
                 known[piece] = ids
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = np.array(found.ids, "<u4").tobytes()
+            known[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
 
