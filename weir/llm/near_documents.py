@@ -286,7 +286,8 @@ def near_documents(
     rows: int = 5,
     batch: int = 25,
     miss: float = 1e-7,
-    hubs: int = 5,
+    turns: int = 2,
+    hubs: int = 3,
     tile: int = 512,
     id: str = "doc_id",
     text: str = "text",
@@ -303,8 +304,8 @@ def near_documents(
 
     A pair of similarity s escapes all bands with probability (1 - s**rows)**bands: 1.2e-7 at 0.8, less above.
     ``batch`` positions are compared at a time; ``miss`` bounds the posterior probability at which a pair is
-    given up. ``hubs`` is how often members meet a drawn one before the rest is compared; it changes the work, not
-    the result.
+    given up. In each of ``turns`` turns a member meets up to ``hubs`` drawn ones before the rest is compared; both
+    change the work, not the result.
     """
     signer = Signer(bands, rows)
     positions = bands * rows
@@ -326,13 +327,15 @@ def near_documents(
         return stored(_verified(stored(pairs, "candidates"), sets, percent), "links")
 
     found, groups = None, None
-    for turn in range(hubs):
-        placed = _placed(members, groups)
-        hub = placed.groupBy("key").agg(F.min_by(F.struct("node", "group"), F.xxhash64("node", F.lit(turn))).alias("hub"))
-        # Each member meets one of the members drawn in its buckets, so that a turn has no more pairs than classes.
-        met = placed.join(hub, "key").where("group <> hub.group").groupBy("node").agg(
-            F.min_by("hub.node", F.xxhash64("hub.node", F.lit(turn))).alias("drawn"))
-        pairs = met.select(F.least("node", "drawn").alias("a"), F.greatest("node", "drawn").alias("b")).distinct()
+    for turn in range(turns):
+        placed, draws = _placed(members, groups), [F.lit(turn * hubs + i) for i in range(hubs)]
+        hub = placed.groupBy("key").agg(*[F.min_by(F.struct("node", "group"), F.xxhash64("node", d)).alias(f"hub{i}") for i, d in enumerate(draws)])
+        # Each member meets a few of the members drawn in its buckets, so that a turn has no more pairs than ``hubs`` a class.
+        met = placed.join(hub, "key").groupBy("node").agg(F.array_distinct(F.array(*[
+            F.min_by(F.col(f"hub{i}.node"), F.when(F.col("group") != F.col(f"hub{i}.group"), F.xxhash64(f"hub{i}.node", d)))
+            for i, d in enumerate(draws)])).alias("drawn"))
+        met = met.select("node", F.explode("drawn").alias("drawn")).where("drawn IS NOT NULL")
+        pairs = met.select(F.least("node", "drawn").alias("a"), F.greatest("node", "drawn").alias("b"))
         more = links(_surviving(pairs, nodes, batch, needed, percent))
         found = more if found is None else found.unionByName(more)
         groups = components(found)
