@@ -5,11 +5,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from weir.config import LogOptions, StreamOptions
+from weir.config import AggregationOptions, LogOptions, StreamOptions
 from weir.operators.select import closed_windows
 from weir.catalog.frames import HOUR, MINUTE, hourly, table, table_stream, utc
+from weir.plans import web_etl
 from weir.sources import logs
-from weir.streaming import commit, dedup, run, windows
+from weir.streaming import commit, dedup, merge, run, windows
 from weir.workspace import scratch
 
 
@@ -125,3 +126,46 @@ def test_files_per_trigger(spark):
     stream = inbox(spark, [(1, at(0), "a")], [(2, at(0), "a"), (3, at(0), "a")])
     run.to_batches(stream, lambda b, _: sizes.append(b.count()), StreamOptions(scratch(spark, "c"))).awaitTermination()
     assert sizes == [1, 2]
+
+
+def test_a_new_checkpoint_replaces_nothing(spark):
+    """Batches of a new checkpoint begin at 0 again and come on top of the earlier ones."""
+    out = scratch(spark, "commits")
+    for ids in ([1, 2, 3], [4, 5], [6]):
+        stream = inbox(spark, [(i, at(0), "a") for i in ids])
+        run.to_batches(stream, commit.committer(out), StreamOptions(scratch(spark, "c"))).awaitTermination()
+    assert sorted(r.id for r in commit.committed(spark, out).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_unpublished_rows_are_not_seen(spark):
+    out = scratch(spark, "commits")
+    commit.commit_once(spark.range(3), 0, out)
+    spark.range(5).write.parquet(f"{out}/rows/_attempt=broken")
+    assert commit.committed(spark, out).count() == 3
+
+
+def test_compaction_keeps_rows_and_ids(spark):
+    out = scratch(spark, "commits")
+    for batch_id in range(3):
+        commit.commit_once(spark.range(2).withColumn("n", F.lit(batch_id)), batch_id, out)
+    commit.compact(spark, out, lambda rows: commit.newest(rows, ["id"]))
+    commit.remove_folded(spark, out)
+    assert tuples(commit.latest_values(spark, out, "id", "n")) == [(0, 2), (1, 2)]
+    commit.commit_once(spark.range(2).withColumn("n", F.lit(7)), 1, out)
+    commit.commit_once(spark.range(1).withColumn("n", F.lit(3)), 3, out)
+    assert tuples(commit.latest_values(spark, out, "id", "n")) == [(0, 3), (1, 2)]
+
+
+def test_late_payloads_are_added_and_bad_ones_kept(spark):
+    """Row 4 comes late; the payload without a time goes to the quarantine."""
+    def payload(minute, client):
+        return (f'{{"Timestamp":"1/1/2024 12:{minute:02d}:00 AM","Result":"OK","Client":"{client}"}}',)
+
+    stream = inbox(spark, [payload(0, "a"), payload(30, "a")], [payload(0, "a"), ('{"Result":"OK"}',)], schema="payload string")
+    path, bad = scratch(spark, "cells"), scratch(spark, "bad")
+    for query in web_etl.stream_web_etl(
+        stream, "payload", AggregationOptions(), path, bad, StreamOptions(scratch(spark, "c")), late="merge"
+    ):
+        query.awaitTermination()
+    assert tuples(merge.stored_cells(spark, path)) == [("OK#20240101000000", "v:a", 2.0), ("OK#20240101003000", "v:a", 1.0)]
+    assert spark.read.parquet(bad).count() == 1

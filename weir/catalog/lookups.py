@@ -11,6 +11,8 @@ from weir.catalog.frames import DAILY_CELLS, daily_cells, hourly, part_models, t
 from weir.functions.keys import row_key
 from weir.operators import enrich, keyed
 from weir.plans import vehicle_enrich
+from weir.streaming import merge
+from weir.workspace import scratch
 
 _ENRICHED = """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_name AS model
@@ -86,6 +88,26 @@ def k5_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.upsert(base, changes, ["c_custkey"], ["version"]).withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
+@query("""
+    SELECT c_custkey, c_name, c_nationkey,
+           round(c_acctbal + CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 0 END, 2) AS c_acctbal, c_mktsegment
+    FROM customer WHERE c_custkey % 11 <> 0
+""")
+def k5_k6_stored_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table after upserts and deletes, each batch merged twice, folded in between."""
+    base, path, key = table(spark, sf_dir, "customer"), scratch(spark, "merged"), ["c_custkey"]
+    changes = base.where("c_custkey % 7 = 0").withColumn("version", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "c_acctbal", F.round(F.col("c_acctbal") + F.col("version"), 2)
+    )
+    doomed = base.where("c_custkey % 11 = 0")
+    for _ in range(2):
+        merge.merge_once(base, 0, path, key)
+        merge.merge_once(changes, 1, path, key, order=["version"])
+        merge.compact_merged(spark, path, key)
+        merge.merge_once(doomed, 2, path, key, deleted=F.lit(True))
+    return merge.merged(spark, path, key).select(*base.columns).withColumn("c_acctbal", F.round("c_acctbal", 2))
+
+
 @query("SELECT * FROM customer WHERE c_custkey % 11 <> 0")
 def k6_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "customer")
@@ -127,6 +149,30 @@ def k7_wide_merge_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.wide_merge(*_merge_inputs(spark, sf_dir), mode="overwrite")
 
 
+def _merged_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Both inputs written to a stored table, each twice under its batch id."""
+    path = scratch(spark, "cells")
+    for batch_id, cells in enumerate(_merge_inputs(spark, sf_dir)):
+        for _ in range(2):
+            merge.cells_once(cells, batch_id, path, mode)
+        merge.compact_cells(spark, path, mode)
+    return merge.stored_cells(spark, path, mode)
+
+
+@query(f"SELECT row_key, column_key, sum(value) AS value FROM ({_OLD} UNION ALL {_NEW}) GROUP BY ALL")
+def j5_stored_merge_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_twice(spark, sf_dir, "add")
+
+
+@query(f"""
+    WITH new AS ({_NEW})
+    SELECT * FROM new UNION ALL SELECT * FROM ({_OLD}) AS old
+    WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.row_key = old.row_key AND new.column_key = old.column_key)
+""")
+def k7_stored_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_twice(spark, sf_dir, "overwrite")
+
+
 @query(f"""
     SELECT reading.*, c_mktsegment AS model
     FROM ({_READINGS}) AS reading

@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from weir.catalog import query
 from weir.catalog.aggregates import _HOURLY
-from weir.catalog.frames import HOUR, MINUTE, naive, part_models, table, table_stream, utc, write_parts
+from weir.catalog.frames import (
+    DAY, HOUR, MINUTE, naive, part_models, table, table_stream, utc, vehicle_json, vehicles, web_log, write_parts,
+)
 from weir.catalog.lookups import _ENRICHED
-from weir.config import LogOptions, StreamOptions
+from weir.config import AggregationOptions, LogOptions, StreamOptions
 from weir.functions.times import duration
 from weir.operators import aggregate, enrich, parse
 from weir.operators.select import positive_only
+from weir.plans import event_counter, vehicle_enrich, web_etl
 from weir.sources import logs
-from weir.streaming import commit, run, windows
+from weir.streaming import commit, merge, run, windows
 from weir.streaming.dedup import dedup
 from weir.workspace import scratch
 
@@ -56,7 +59,7 @@ def _hourly_where(condition: str) -> str:
     return _HOURLY.replace("FROM events", f"FROM events WHERE {condition}")
 
 
-def _windows(spark: SparkSession, sf_dir: str, parts: Sequence[Column], delay: timedelta, late: str = "drop") -> DataFrame:
+def _windows(spark: SparkSession, sf_dir: str, parts: Sequence[Column], delay: timedelta, late: str = "drop", compacted: bool = False) -> DataFrame:
     out = scratch(spark, "windows")
 
     def start(stream: DataFrame, options: StreamOptions):
@@ -64,7 +67,10 @@ def _windows(spark: SparkSession, sf_dir: str, parts: Sequence[Column], delay: t
             stream, "ts", HOUR, delay, "event_type", "user_id", out, options, late=late
         )
 
-    _deliver(utc(table(spark, sf_dir, "events").select("ts", "event_type", "user_id")), parts, start)
+    for part in ([p] for p in parts) if compacted else [parts]:
+        _deliver(utc(table(spark, sf_dir, "events").select("ts", "event_type", "user_id")), part, start)
+        if compacted:
+            commit.compact(spark, out, aggregate.re_aggregate)
     return windows.read_windows(spark, out, late).withColumn("agg_ts", naive("agg_ts"))
 
 
@@ -94,6 +100,13 @@ def t3_late_partials_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(spark, sf_dir, [~late, late], MINUTE, late="merge")
 
 
+@query(_HOURLY)
+def t3_late_partials_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the partials folded into one table after each delivery."""
+    late = _before("2024-01-10")
+    return _windows(spark, sf_dir, [~late, late], MINUTE, late="merge", compacted=True)
+
+
 @query(_hourly_where("ts >= TIMESTAMP '2024-01-10' AND " + _closed("1 MINUTE")))
 def t3_late_partials_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same delivery in drop mode: the late events are gone."""
@@ -224,9 +237,12 @@ def t9_per_key_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_ENRICHED)
 def t10_stream_static_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension is ranked once and stored; micro-batches only join it."""
     out = scratch(spark, "enriched")
     items = table_stream(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    enriched = enrich.enrich_first(items, part_models(spark, sf_dir), ["l_partkey"], "tie", ["model"])
+    dimension = scratch(spark, "dimension")
+    enrich.first_per_key(part_models(spark, sf_dir), ["l_partkey"], "tie").drop("tie").write.parquet(dimension)
+    enriched = enrich.lookup_join(items, spark.read.parquet(dimension), ["l_partkey"], "inner")
     run.to_files(enriched, out, _options(spark)).awaitTermination()
     return spark.read.parquet(out)
 
@@ -320,3 +336,64 @@ def s3_binary_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = logs.binary_log_source(spark, "files", _log_files(spark, sf_dir), LogOptions(max_per_trigger=2))
     sizes = _read_log(spark, log.select("partition", F.octet_length("value").alias("size")))
     return sizes.groupBy("partition").agg(F.sum("size").alias("bytes"))
+
+
+def _inbox(df: DataFrame) -> DataFrame:
+    """A stream over files that hold the rows."""
+    path = scratch(df.sparkSession, "inbox")
+    df.write.parquet(path)
+    return logs.file_stream(df.sparkSession, path, df.schema)
+
+
+@query("""
+    SELECT pk || '#' || strftime(agg_ts, '%Y%m%d%H%M%S') AS row_key, 'v:' || sk AS column_key, value
+    FROM (SELECT *, row_number() OVER (PARTITION BY agg_ts, pk ORDER BY value DESC, sk) AS place
+          FROM (SELECT date_trunc('day', ts) AS agg_ts, event_type AS pk,
+                       CASE WHEN event_type = 'purchase' THEN 'null' ELSE CAST(user_id AS VARCHAR) END AS sk,
+                       CAST(count(*) AS DOUBLE) AS value
+                FROM events
+                WHERE date_trunc('day', ts) + INTERVAL 1 DAY
+                      <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL 1 MINUTE
+                GROUP BY ALL))
+    WHERE place <= 3
+""")
+def plan_web_etl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as a stream: the top users of each closed day and type end up in the stored table."""
+    path, options = scratch(spark, "cells"), AggregationOptions(window=DAY, top_n=3)
+    for part in web_etl.stream_web_etl(
+        _inbox(web_log(spark, sf_dir)), "payload", options, path, scratch(spark, "bad"), _options(spark), ranked=True
+    ):
+        part.awaitTermination()
+    return merge.stored_cells(spark, path)
+
+
+@query(f"""
+    WITH ticks AS (
+        SELECT epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) AS ms, count(*) AS event_count
+        FROM events WHERE {_closed("1 MINUTE")} GROUP BY ALL)
+    SELECT (ms - (SELECT min(ms) FROM ticks)) // 1000 AS "timestamp", event_count // 3600 AS rate FROM ticks
+""")
+def plan_event_counter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's counts stored per closed tick, and the rates read from the table."""
+    out = scratch(spark, "ticks")
+    events = utc(table_stream(spark, sf_dir, "events"))
+    event_counter.stream_event_counts(events, "ts", HOUR, MINUTE, out, _options(spark)).awaitTermination()
+    return event_counter.stored_event_rates(spark, out, HOUR)
+
+
+@query("""
+    SELECT c_mktsegment AS model, count(*) AS vehicles
+    FROM (SELECT substr(repeat(CAST(o_custkey AS VARCHAR), 17), 1, 17) AS vin FROM orders WHERE o_orderkey % 10 <> 0)
+    JOIN (SELECT substr(repeat(CAST(c_custkey AS VARCHAR), 17), 1, 17) AS vin, arg_min(c_mktsegment, c_custkey) AS c_mktsegment
+          FROM customer GROUP BY ALL) USING (vin)
+    GROUP BY ALL
+""")
+def plan_vehicle_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of a stream per model, counted from the files stored per model."""
+    path, dimension = scratch(spark, "readings"), scratch(spark, "dimension")
+    enrich.first_per_key(vehicles(spark, sf_dir), ["vin"], "tie").write.parquet(dimension)
+    vehicle_enrich.stream_readings(
+        _inbox(vehicle_json(spark, sf_dir)), "payload", spark.read.parquet(dimension), path, _options(spark)
+    ).awaitTermination()
+    schema = "vin string, outside_temp int, engine_temp int, speed int, timestamp long, model string"
+    return spark.read.schema(schema).csv(path).groupBy("model").agg(F.count(F.lit(1)).alias("vehicles"))

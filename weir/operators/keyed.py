@@ -61,7 +61,7 @@ def sum_cells(cells: DataFrame) -> DataFrame:
 def wide_merge(base: DataFrame, new: DataFrame, mode: str = "overwrite") -> DataFrame:
     """Stored cells after writing ``new`` (one row per cell): replaced, or added to what is there."""
     if mode == "overwrite":
-        return anti_by_key(base, new, CELL).unionByName(new)
+        return upsert(base, new, CELL, [])
     if mode == "add":
         return sum_cells(base.unionByName(new))
     raise ValueError(f"mode must be overwrite or add, not {mode!r}")

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.config import AggregationOptions
-from weir.functions.times import parse_timestamp
+from pyspark.sql.streaming import StreamingQuery
+
+from weir.config import AggregationOptions, StreamOptions
+from weir.functions.times import duration, parse_timestamp
 from weir.operators.aggregate import windowed_key_agg
 from weir.operators.keyed import to_cells
 from weir.operators.parse import BAD, computed_once, extract_paths, split_bad
 from weir.operators.rank import top_n
+from weir.streaming.merge import cells_once
+from weir.streaming.run import to_batches, to_files
 
 
 def keyed_events(raw: DataFrame, payload: str, options: AggregationOptions, arrival: Column | None = None) -> DataFrame:
@@ -40,3 +46,47 @@ def web_etl(raw: DataFrame, payload: str, options: AggregationOptions, ranked: b
     if ranked:
         counts = top_n(counts, ["agg_ts", "pk"], "value", "sk", options.top_n)
     return to_cells(counts)
+
+
+def stream_web_etl(
+    sdf: DataFrame,
+    payload: str,
+    options: AggregationOptions,
+    path: str,
+    quarantine: str,
+    stream: StreamOptions,
+    ranked: bool = False,
+    mode: str = "add",
+    late: str = "drop",
+) -> list[StreamingQuery]:
+    """Keep the cells of a stream of payloads in the stored table at ``path``, and bad payloads as files at ``quarantine``.
+
+    ``drop``: a window is written once, ``options.emit_delay`` after the newest event has passed its end, with
+    ``ranked`` only its top secondary keys. ``merge``: every micro-batch adds its counts, however old their
+    windows. Read with :func:`weir.streaming.merge.stored_cells`. Two queries, each with a checkpoint of its own.
+    """
+    if late == "merge" and (ranked or mode != "add"):
+        raise ValueError("late payloads can only be added to unranked cells")
+    events = keyed_events(sdf, payload, options).select("ts", "pk", "sk", BAD)
+    good, bad = split_bad(events, "quarantine")
+
+    def ranked_cells(batch: DataFrame, batch_id: int) -> None:
+        # A closed window is whole in one micro-batch, so it can be ranked there.
+        counts = top_n(batch, ["agg_ts", "pk"], "value", "sk", options.top_n) if ranked else batch
+        cells_once(to_cells(counts), batch_id, path, mode)
+
+    def added_cells(batch: DataFrame, batch_id: int) -> None:
+        cells_once(to_cells(windowed_key_agg(batch, "ts", options.window, "pk", "sk")), batch_id, path)
+
+    if late == "drop":
+        timed = good.withWatermark("ts", duration(options.emit_delay))
+        counting = to_batches(windowed_key_agg(timed, "ts", options.window, "pk", "sk"), ranked_cells, _part(stream, "cells"))
+    elif late == "merge":
+        counting = to_batches(good, added_cells, _part(stream, "cells"))
+    else:
+        raise ValueError(f"late must be drop or merge, not {late!r}")
+    return [counting, to_files(bad, quarantine, _part(stream, "bad"))]
+
+
+def _part(stream: StreamOptions, name: str) -> StreamOptions:
+    return replace(stream, checkpoint=f"{stream.checkpoint}/{name}")

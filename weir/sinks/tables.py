@@ -47,7 +47,10 @@ def read_table(spark: SparkSession, target: Target) -> DataFrame:
 def table_exists(spark: SparkSession, target: Target) -> bool:
     if target.table:
         return spark.catalog.tableExists(target.table)
-    try:
+    if target.path:
+        path = spark._jvm.org.apache.hadoop.fs.Path(target.path)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    try:  # Only the database knows; there is no path to ask.
         read_table(spark, target)
     except AnalysisException:
         return False

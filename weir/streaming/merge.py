@@ -1,0 +1,62 @@
+"""Stored tables that micro-batches change: upserts and deletes by key, cells replaced or added to (K5-K7).
+
+A batch is committed as what it changes, once however often it is replayed, and readers merge the changes; no
+batch rewrites the table. :func:`weir.streaming.commit.compact` folds the changes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weir.operators.keyed import CELL, sum_cells
+from weir.streaming.commit import commit_once, committed, compact, latest, newest
+
+
+def merge_once(
+    batch: DataFrame, batch_id: int, path: str, keys: Sequence[str], order: Sequence[str] = (), deleted: Column | None = None
+) -> None:
+    """Commit the last row of each key by ``order``: it replaces the key's stored row, or removes it where ``deleted`` holds.
+
+    The columns of ``order`` are not stored. Batches apply in the order of their commits.
+    """
+    marked = batch.withColumn("_deleted", F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False)))
+    values = [c for c in marked.columns if c not in keys and c not in order]
+    rank = F.struct(*order) if order else F.lit(0)
+    last = marked.groupBy(*keys).agg(F.max_by(F.struct(*values), rank).alias("_row"))
+    commit_once(last.select(*keys, "_row.*"), batch_id, path)
+
+
+def merged(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The stored rows after all committed batches."""
+    return latest(spark, path, keys).where("NOT _deleted").drop("_deleted")
+
+
+def compact_merged(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Fold the changes into one row per key; deleted keys stay marked."""
+    compact(spark, path, lambda rows: newest(rows, keys))
+
+
+def cells_once(cells: DataFrame, batch_id: int, path: str, mode: str = "add") -> None:
+    """Commit a batch of cells that replace the stored ones or are added to them; a table keeps to one mode."""
+    if mode == "overwrite":
+        merge_once(cells, batch_id, path, CELL)
+    elif mode == "add":
+        commit_once(sum_cells(cells), batch_id, path)
+    else:
+        raise ValueError(f"mode must be overwrite or add, not {mode!r}")
+
+
+def stored_cells(spark: SparkSession, path: str, mode: str = "add") -> DataFrame:
+    """The stored cells, one row each."""
+    return merged(spark, path, CELL) if mode == "overwrite" else sum_cells(committed(spark, path))
+
+
+def compact_cells(spark: SparkSession, path: str, mode: str = "add") -> None:
+    """Fold the committed cells."""
+    if mode == "overwrite":
+        compact_merged(spark, path, CELL)
+    else:
+        compact(spark, path, sum_cells)
