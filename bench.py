@@ -37,6 +37,13 @@ HEADLINE = [
     "plan_event_counter",
     "t1_tumbling_window_stream",
     "t10_stream_static_enrich",
+    "k1_delimited_files_sink",
+    "k7_wide_merge_write",
+    "s8_key_range_scan",
+    "t3_late_partials_merged",
+    "t6_replay_dedup",
+    "t9_per_key_state",
+    "plan_web_etl_stream",
 ]
 
 

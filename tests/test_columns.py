@@ -193,3 +193,13 @@ def test_keys_of_another_form_are_null(spark):
     pk, ts = keys.split_row_key(F.col("key"))
     found = row.select(keys.row_key(F.col("pk"), F.col("ts")), keys.row_key(F.col("none"), F.col("at")), pk, ts).first()
     assert tuple(found) == (None, None, None, None)
+
+
+def test_text_after_the_payload_is_bad(spark):
+    texts = ['{"a":1}', '{"a":1} junk', '{"a":1},{"a":2}', '{"a":', "5", "", " ", '[{"a":1}]', None, ' {"a":{"b":1}} ']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
+    for paths in ({"a": "a"}, {"a": "a", "b": "a.b"}):
+        found = parse.extract_paths(rows, "j", paths).where(f"{parse.BAD} IS NULL").orderBy("i").collect()
+        assert [(r.i, r.a) for r in found] == [(0, "1"), (9, '{"b":1}')]
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    assert [r.i for r in parse.parse_json(rows, "j", schema).where(f"{parse.BAD} IS NULL").orderBy("i").collect()] == [0, 9]

@@ -292,3 +292,12 @@ def test_throughput_of_idle_keys(spark):
     df = spark.createDataFrame(rows, "ts timestamp_ntz, k string, e boolean")
     found = aggregate.throughput(df, "ts", timedelta(hours=1), F.col("e"), ["k"]).first()
     assert (found.received, found.emitted, found.errors) == (3, 1, 2)
+
+
+def test_results_are_ordered(spark, sf_dir):
+    """The comparison with SQL sorts both sides, so the order is looked at here."""
+    events = table(spark, sf_dir, "events")
+    starts = [r.agg_ts for r in rank.order_windows(hourly(events)).collect()]
+    assert starts == sorted(starts) and len(set(starts)) > 1
+    times = [r.ts for r in rank.order_by_time_desc(events.select("event_id", "ts"), "ts").collect()]
+    assert times == sorted(times, reverse=True)

@@ -12,7 +12,9 @@ from weir.functions.keys import repeat_id
 from weir.functions.times import LOG_TIMESTAMP_FORMAT
 from weir.operators.aggregate import windowed_key_agg
 from weir.operators.keyed import to_cells
+from weir.sources.files import text_lines
 from weir.sources.logs import file_stream
+from weir.workspace import scratch
 
 HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
@@ -94,10 +96,10 @@ def part_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source, line) of the documents, a final line break not starting another line."""
-    body = F.when(F.col("text").endswith("\n"), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
-    split = F.explode(F.split(body, "\n", -1))
-    return table(spark, sf_dir, "documents").where("text <> ''").select("source", split.alias("line"))
+    """(source, line) of all documents, written as text files, a folder per source, and read line by line."""
+    path = scratch(spark, "text")
+    table(spark, sf_dir, "documents").select("source", "text").write.partitionBy("source").text(path)
+    return text_lines(spark, [path]).select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source"), "line")
 
 
 def as_log(spark: SparkSession, sf_dir: str) -> DataFrame:

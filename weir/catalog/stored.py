@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir.catalog import query
-from weir.catalog.frames import DAILY_CELLS, daily_cells, table, vehicle_json, vehicles
+from weir.catalog.frames import DAILY_CELLS, daily_cells, lines, table, vehicle_json, vehicles
+from weir.functions.keys import key_partition
 from weir.operators import keyed, words
 from weir.operators.packing import bulk_pack
 from weir.plans import vehicle_enrich
@@ -127,7 +128,11 @@ def k11_event_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS value FROM orders")
 def k12_keyed_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payloads.keyed_payload(table(spark, sf_dir, "orders"), "o_orderkey", "o_orderpriority")
+    """Records in a log of files, in 32 partitions by their key."""
+    path = scratch(spark, "log")
+    records = payloads.keyed_payload(table(spark, sf_dir, "orders"), "o_orderkey", "o_orderpriority")
+    payloads.write_log_files(records.withColumn("partition", key_partition(F.col("key"), 32)), path)
+    return spark.read.parquet(path).select("key", "value")
 
 
 @query("SELECT '0 = ' || event_id || ', 1 = ' || event_type || ', 2 = ' || value AS line FROM events")
@@ -142,10 +147,7 @@ def k13_console_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def s6_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as text files, a folder per source, read line by line."""
-    path = scratch(spark, "text")
-    table(spark, sf_dir, "documents").select("source", "text").write.partitionBy("source").text(path)
-    lines = files.text_lines(spark, [path])
-    by_source = lines.withColumn("source", F.regexp_extract("file", "source=([^/]*)/", 1))
+    by_source = lines(spark, sf_dir)
     counted = words.file_word_count(by_source, "source", "line")
     return by_source.groupBy("source").agg(F.count(F.lit(1)).alias("lines")).join(counted, "source")
 

@@ -23,6 +23,15 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
+def _objects(text: Column, schema: T.StructType, options: Mapping[str, str] | None = None) -> Column:
+    """The text as an array of JSON objects; read inside brackets, so that text after the object is an error too."""
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), dict(options or {}))
+
+
+def _only(objects: str) -> Column:
+    return F.when(F.size(objects) == 1, F.col(objects)[0])
+
+
 def parse_json(
     df: DataFrame,
     col: str,
@@ -37,8 +46,9 @@ def parse_json(
     """
     rename = rename or {}
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    parsed = F.from_json(F.col("_text"), text, {"allowUnquotedFieldNames": "true"})
-    typed = computed_once(df.withColumnRenamed(col, "_text"), "_parsed", parsed).withColumns({
+    parsed = _objects(F.col("_text"), text, {"allowUnquotedFieldNames": "true"})
+    once = computed_once(df.withColumnRenamed(col, "_text"), "_objects", parsed)
+    typed = once.withColumn("_parsed", _only("_objects")).drop("_objects").withColumns({
         rename.get(f.name, f.name): F.col(f"_parsed.`{f.name}`").try_cast(f.dataType) for f in schema
     })
     missing = F.col("_parsed").isNull()
@@ -87,13 +97,13 @@ def extract_paths(df: DataFrame, col: str, paths: Mapping[str, str], default: st
     clash = any(p != q and q.startswith(f"{p}.") for p in listed for q in listed)
     if clash or any("[" in path for path in listed):
         values = {out: F.get_json_object(F.col(col), f"$.{path}") for out, path in paths.items()}
-        bad = F.get_json_object(F.col(col), "$").isNull() | ~F.col(col).rlike(r"^\s*\{")
-        found = df
+        found = computed_once(df, "_found", _objects(F.col(col), T.StructType([T.StructField(BAD, T.StringType())])))
+        bad = _only("_found").isNull()
     else:
-        schema = _text_schema(listed).add(BAD, T.StringType())
-        found = computed_once(df, "_found", F.from_json(F.col(col), schema, {"columnNameOfCorruptRecord": BAD}))
+        found = computed_once(df, "_objects", _objects(F.col(col), _text_schema(listed)))
+        found = found.withColumn("_found", _only("_objects")).drop("_objects")
         values = {out: F.col(f"_found.{path}") for out, path in paths.items()}
-        bad = F.col("_found").isNull() | F.col(f"_found.{BAD}").isNotNull()
+        bad = F.col("_found").isNull()
     values = {out: value if default is None else default_null_key(value, default) for out, value in values.items()}
     return found.withColumns({**values, BAD: F.when(bad, F.coalesce(F.col(col), F.lit("")))}).drop("_found")
 
