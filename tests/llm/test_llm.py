@@ -101,6 +101,21 @@ def test_packing_gives_every_id_once(spark):
     assert packing.pack(documents(spark, []), WORDS).count() == 0
 
 
+def test_packing_takes_added_tokens_for_one_id(spark):
+    from tokenizers import Tokenizer
+
+    texts = [
+        "a <|endoftext|> b", "A.<|startoftext|><|endoftext|>B", "<|ENDOFTEXT|> <|EndOfText|>x", "<|endoftext|><|ENDOFTEXT|>", "<|endoftext |>", "e<|endoftext|>\u0301",
+        "x\x1c<|endoftext|>\x1cy it's<|endoftext", "<|<|endoftext|>|>",
+    ]
+    tokenizer = Tokenizer.from_file(WORDS)
+    expected = {i: tokenizer.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    assert expected[0] == [320, 49407, 321, 2] and 49407 not in expected[2]
+    pieces = packing.pack(documents(spark, list(enumerate(texts))), WORDS).collect()
+    assert {p.id: np.frombuffer(p.ids, "<u4").tolist() for p in pieces} == expected
+    assert all(p.doc_tokens == len(expected[p.id]) and p.ids_crc32 == zlib.crc32(p.ids) for p in pieces)
+
+
 # 3
 
 def brute_force_lines(rows, min_words):

@@ -35,12 +35,20 @@ _PIECES = re.compile("[^ \t\n\r\x0b\x0c]+")
 _MARKS = re.compile("([a-z0-9\u00e0-\u00f6\u00f8-\u00ff])([.,!?;:#$%&*|()]+)(?=\\s|$)")
 
 
+def _pieces(text: str) -> list[str]:
+    lowered = _MARKS.sub(r"\1 \2", text.encode("utf-8", "replace").lower().decode())
+    return _PIECES.findall(lowered) if _SEPARATORS.search(lowered) else lowered.split()
+
+
 class WordIds:
     """From texts to their ids, little-endian unsigned 32-bit.
 
     White space always ends a match of this tokenizer's pattern and is dropped, so a text's ids are those of
     its pieces without white space, one after the other; marks at a word's end are a piece of their own, and A-Z
     are lower-cased as the tokenizer would. Pieces repeat, so most need no encoding; new ones are encoded together. Of the pieces known, those that have not been met for a while are forgotten.
+
+    The tokenizer's added tokens, such as "<|endoftext|>", are looked for in the text as it is, and become one id
+    each; "<|ENDOFTEXT|>" is ordinary text, though its pieces, lower-cased, look like one.
     """
 
     def __init__(self, path: str):
@@ -48,15 +56,27 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(a.normalized or a.single_word or a.lstrip or a.rstrip for a in added.values()):
+            raise ValueError("added tokens must be literal")
+        # Pieces hold no white space, so with a space before it, none is taken for an added token.
+        self.added = {" " + a.content: struct.pack("<I", i) for i, a in added.items()}
+        literals = sorted((re.escape(a.content) for a in added.values()), key=len, reverse=True)
+        self.literals = re.compile(f"({'|'.join(literals)})") if literals else None
+        # What is encoded here are pieces between the added tokens only.
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = dict(self.added)
         self.older: dict[str, bytes] = {}
 
+    def pieces(self, text: str) -> list[str]:
+        if self.literals and self.literals.search(text):
+            return [p for i, part in enumerate(self.literals.split(text)) for p in ([" " + part] if i % 2 else _pieces(part))]
+        return _pieces(text)
+
     def of(self, texts: list[str]) -> list[bytes]:
-        lowered = [_MARKS.sub(r"\1 \2", t.encode("utf-8", "replace").lower().decode()) for t in texts]
-        split = [_PIECES.findall(t) if _SEPARATORS.search(t) else t.split() for t in lowered]
+        split = [self.pieces(t) for t in texts]
         if len(self.known) >= REMEMBERED:
-            self.known, self.older = {}, self.known
+            self.known, self.older = dict(self.added), self.known
         known, older, new = self.known, self.older, []
         for piece in set().union(*split).difference(known):  # unlike "-", this looks up the batch's pieces only
             ids = older.get(piece)
@@ -154,7 +174,8 @@ def pack(
     """The pieces of all documents in windows of ``window`` tokens; only the last window can be short.
 
     Per piece: id, start (the document's tokens before it), length, ids (little-endian unsigned 32-bit) and
-    their crc32, doc_tokens, and the place: sequence_id, offset. ``end_id`` ends each document, so a null or
+    their crc32, doc_tokens, and the place: sequence_id, offset. Ids are those of ``Tokenizer.encode(text,
+    add_special_tokens=False)``: a literal added token in a text is one id. ``end_id`` ends each document, so a null or
     empty text is one token. A long text becomes as many pieces as it needs. Rows with a null or repeated id
     are packed like any other; an empty table has no pieces. Other columns of ``docs`` are not read.
     """
