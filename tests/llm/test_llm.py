@@ -211,6 +211,33 @@ def test_top_k_equals_brute_force(spark):
     assert top_k(vectors(spark, []), F.col("id") % 50 == 0).count() == 0
 
 
+def test_unusable_copies_hide_no_vector(spark):
+    rows = [
+        (1, [1.0, 0.0], 1), (1, None, 1), (1, [0.0, 1.0], None), (1, [float("nan"), 0.0], 0), (2, [1.0, 0.1], 1), (2, [0.0, 0.0], 0),
+        (3, [0.1, 1.0], 0), (3, None, None), (4, [0.0, 0.0], 2), (4, None, 1),
+    ]
+    got = {r.id: (r.n_links, r.component, r.kept) for r in near_vectors(vectors(spark, rows)).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (0, 4, True)}
+
+
+def test_top_k_searches_all_vectors_of_an_id(spark):
+    random = np.random.default_rng(9)
+    rows = [(int(i), [float(x) for x in np.float32(random.standard_normal(n).round(1))], 0) for n in (8, 3) for i in random.integers(0, 120, 500)]
+    rows += [(i, None, 0) for i in range(0, 120, 3)] + [(7, rows[0][1], 0)] * 30
+    whole = {}
+    for i, v, _ in rows:
+        if v is not None:
+            whole.setdefault(i, []).append(np.floor(256 * np.array(v, np.float32).astype(float)).astype(int))
+    for block in (17, 4096):
+        got = {}
+        for r in top_k(vectors(spark, rows), F.col("id") % 10 == 0, query_block=5, candidate_block=block).collect():
+            got.setdefault(r.query_id, []).append((r.rank, r.id, r.score))
+        for q in (i for i in whole if i % 10 == 0):
+            scores = {i: [int(a @ b) for a in whole[q] for b in whole[i] if len(a) == len(b)] for i in whole if i != q}
+            best = sorted((-max(s), i) for i, s in scores.items() if s)[:5]
+            assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
 def test_cover_tree_radii_cover():
     random = np.random.default_rng(3)
     points = np.concatenate([random.integers(-50, 50, (80, 5)), np.full((9, 5), 3)]).astype(float)

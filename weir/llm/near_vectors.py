@@ -31,11 +31,11 @@ def finite(embedding: Column) -> Column:
     )
 
 
-def one_per_id(embeddings: DataFrame, id: str, embedding: str, label: str | None = None) -> DataFrame:
-    """(id, label, embedding): of the rows that repeat an id, the one with the smallest label and vector."""
-    named = F.col(label) if label else F.lit(None).cast("int")
-    least = F.min(F.struct(named.alias("label"), F.col(embedding).alias("embedding")))
-    return embeddings.groupBy(F.col(id).alias("id")).agg(least.alias("v")).select("id", "v.label", "v.embedding")
+def one_per_id(embeddings: DataFrame, usable: Column, id: str, embedding: str, label: str) -> DataFrame:
+    """(id, label, embedding, usable): of the rows that repeat an id, the one with the smallest label and vector among the usable ones, if any is."""
+    rows = embeddings.select(F.col(id).alias("id"), F.col(label).alias("label"), F.col(embedding).alias("embedding"))
+    least = F.min(F.struct((~usable).alias("unusable"), "label", "embedding"))
+    return rows.groupBy("id").agg(least.alias("v")).select("id", "v.label", "v.embedding", (~F.col("v.unusable")).alias("usable"))
 
 
 @lru_cache(maxsize=8)
@@ -144,19 +144,18 @@ def near_vectors(
     Two vectors link if their labels are equal and their cosine, in double precision, is ``threshold`` (below 1) or more.
     Links only with nothing: a null label, a vector that is null, empty, zero or holds null or non-finite
     components, one of another length, and a null id (its component is null and it is not kept). Rows that
-    repeat an id are one vector, the one with the smallest label and components. An empty table gives no rows;
-    other columns are not read.
+    repeat an id are one vector, of those that can link the one with the smallest label and components. An empty
+    table gives no rows; other columns are not read.
 
     Equal vectors are joined as one with a weight. A cell with more than ``tile`` vectors is cut into tiles by a
     hash of the id, and its tile pairs go to tasks of their own. Links are counted where they are found, and
     leave the task as one row per vector. More ``grid_dims`` make cells smaller and copies more.
     """
-    rows = one_per_id(embeddings, id, embedding, label)
     usable = (
         F.col("id").isNotNull() & F.col("label").isNotNull() & finite(F.col("embedding"))
         & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False))
     )
-    rows = stored(rows.withColumn("usable", usable), "vectors")
+    rows = stored(one_per_id(embeddings, usable, id, embedding, label), "vectors")
     classes = rows.where("usable").groupBy("label", "embedding").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     classes = stored(classes, "vector-classes")
     dtype = classes.schema["embedding"].dataType.elementType.simpleString()

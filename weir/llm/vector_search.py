@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm.common import grouped_runs, in_groups, stored
-from weir.llm.near_vectors import finite, one_per_id
+from weir.llm.near_vectors import finite
 
 
 @dataclass
@@ -83,19 +83,30 @@ def _product(a: np.ndarray, b: np.ndarray, exact_in_float: bool) -> np.ndarray:
 
 
 class _Best:
-    """The k best (score, id) of each query so far; ties go to the smaller id."""
+    """The k best (score, id) of each query so far; ties go to the smaller id.
 
-    def __init__(self, n: int, k: int):
-        self.k = k
+    If ids are ``repeated``, an id counts once, with its best score.
+    """
+
+    def __init__(self, n: int, k: int, repeated: bool = False):
+        self.k, self.repeated = k, repeated
         self.score = np.full((n, k), -np.inf)
         self.place = np.full((n, k), -1)
 
     def add(self, scores: np.ndarray, place: np.ndarray) -> None:
         """``place`` numbers the columns of ``scores`` by growing id."""
+        if self.repeated:
+            place, first = np.unique(place, return_index=True)
+            scores = np.maximum.reduceat(scores, first, axis=1)
         if scores.shape[1] > 4 * self.k:
             least = -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1:self.k]
             keep = (scores >= np.maximum(least, self.score[:, -1:])).any(axis=0)
             scores, place = scores[:, keep], place[keep]
+        if self.repeated:
+            for j in range(self.k):
+                same = self.place[:, j:j + 1] == place
+                self.score[:, j] = np.maximum(self.score[:, j], np.where(same, scores, -np.inf).max(axis=1, initial=-np.inf))
+                scores[same] = -np.inf
         score = np.concatenate([self.score, scores], axis=1)
         places = np.concatenate([self.place, np.broadcast_to(place, scores.shape)], axis=1)
         order = np.lexsort((places, -score), axis=1)[:, :self.k]
@@ -103,16 +114,16 @@ class _Best:
         self.place = np.take_along_axis(places, order, 1)
 
 
-def dual_tree_search(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, k: int) -> _Best:
-    """The k best candidates of each query; ``own[i]`` is query i's own place among the candidates, or -1.
+def dual_tree_search(queries: np.ndarray, candidates: np.ndarray, of: np.ndarray, own: np.ndarray, k: int) -> _Best:
+    """The k best ids of each query; ``own[i]`` is the number of query i's own id, or -1.
 
-    Vectors hold whole numbers as float64; candidates come in the order of their ids.
+    Vectors hold whole numbers as float64; candidates come in the order of their ids, which ``of`` numbers from 0.
     """
     largest = float(max(np.abs(queries).max(initial=0), np.abs(candidates).max(initial=0)))
     if largest ** 2 * queries.shape[1] >= 2 ** 62:
         raise ValueError("inner products of these vectors do not fit a long")
     exact = largest ** 2 * queries.shape[1] < 2 ** 53
-    best = _Best(len(queries), k)
+    best = _Best(len(queries), k, repeated=of[-1] + 1 < len(of))
     of_queries, of_candidates = cover_tree(queries), cover_tree(candidates)
     query_norms, candidate_norms = np.linalg.norm(queries, axis=1), np.linalg.norm(candidates, axis=1)
     met = np.zeros(len(candidates), bool)
@@ -129,8 +140,8 @@ def dual_tree_search(queries: np.ndarray, candidates: np.ndarray, own: np.ndarra
             place = c.center[new]
             met[place] = True
             scores = _product(queries, candidates[place], exact).astype(np.float64)
-            wanted = alive[q.node_of][:, new] & (place[None] != own[:, None])
-            best.add(np.where(wanted, scores, -np.inf), place)
+            wanted = alive[q.node_of][:, new] & (of[place][None] != own[:, None])
+            best.add(np.where(wanted, scores, -np.inf), of[place])
         worst = np.full(len(q.center), np.inf)
         np.minimum.at(worst, q.node_of, best.score[:, -1])
         between = queries[q.center] @ candidates[c.center].T
@@ -158,16 +169,18 @@ def top_k(
     Components x count as floor(scale * x). Queries are the rows for whose ``id`` (the column is named ``id``)
     the condition holds; fewer than ``k`` rows come back if there are fewer candidates of the same length. Ties
     go to the smaller id. Vectors that are null, empty or hold null or non-finite components take no part, nor do
-    rows with a null id; rows that repeat an id are one vector, the one with the smallest components. Vectors
-    whose products do not fit a long raise an error. An empty table gives no rows; other columns are not read.
+    rows with a null id. All vectors of rows that repeat an id are searched; an id is one row of a query's result,
+    with the largest product of its vectors and the query's. Vectors whose products do not fit a long raise an error.
+    An empty table gives no rows; other columns are not read.
 
     Every query block meets every candidate block in a task of its own, so tasks stay equally large as the
     tables grow; each returns ``k`` rows per query.
     """
     whole = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
     rows = (
-        one_per_id(embeddings, id, embedding)
+        embeddings.select(F.col(id).alias("id"), F.col(embedding).alias("embedding"))
         .where(F.col("id").isNotNull() & finite(F.col("embedding")) & (F.size("embedding") > 0))
+        .distinct()
         .select("id", F.transform(whole, lambda x: x.cast("double")).alias("v"), F.size("embedding").alias("dims"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     )
     rows = stored(rows, "whole-vectors")
@@ -191,16 +204,19 @@ def top_k(
             q, c = np.flatnonzero(asks), np.flatnonzero(~asks)
             if not len(q) or not len(c):
                 continue
-            place = {x: i for i, x in enumerate(ids.take(pa.array(c)).to_pylist())}
+            named = ids.take(pa.array(c)).to_pylist()
+            place = {x: i for i, x in enumerate(dict.fromkeys(named))}
             own = np.array([place.get(x, -1) for x in ids.take(pa.array(q)).to_pylist()])
-            best = dual_tree_search(vectors[q], vectors[c], own, k)
+            of = np.array([place[x] for x in named])
+            first = c[np.unique(of, return_index=True)[1]]
+            best = dual_tree_search(vectors[q], vectors[c], of, own, k)
             row, column = np.nonzero(best.score > -np.inf)
             yield pa.RecordBatch.from_arrays([
-                ids.take(pa.array(q[row])), ids.take(pa.array(c[best.place[row, column]])),
+                ids.take(pa.array(q[row])), ids.take(pa.array(first[best.place[row, column]])),
                 pa.array(best.score[row, column].astype(np.int64)),
             ], ["query_id", "id", "score"])
 
     found = in_groups(queries.unionByName(candidates), ["dims", "query_block", "block"]).mapInArrow(
-        search, f"query_id {kind}, id {kind}, score long")
+        search, f"query_id {kind}, id {kind}, score long").groupBy("query_id", "id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
