@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filter, warc
+from weir.llm.common import labelled_sample
 from weir.llm.components import components
 from weir.llm.near_documents import near_documents, needed_matches
 from weir.llm.near_vectors import near_vectors
@@ -290,6 +291,37 @@ def test_quality_separates_junk(spark):
     assert quality.score_documents(documents(spark, []), model).count() == 0
 
 
+def early(text, others):
+    """``text`` with an ending that puts it before all others in the order of crc32."""
+    least = min(zlib.crc32(t.encode()) for t in others)
+    return next(t for n in range(10 ** 6) if zlib.crc32((t := f"{text}{n}").encode()) < least)
+
+
+def test_a_long_labelled_text_leaves_the_others_to_learn_from(spark):
+    for module, quality_too in ((quality, True), (toxicity, False)):
+        docs, labels, rows = labelled(spark, quality_too)
+        huge = early("y" * (1 << 17), [t for _, t, _ in rows])
+        docs = docs.unionByName(documents(spark, [(1000, huge)]))
+        labels = labels.unionByName(spark.createDataFrame([(1000, 1)], labels.schema))
+        model = module.fit(docs, labels, (F.col("_id") < 300) | (F.col("_id") == 1000), most_bytes=1 << 17, label="label")
+        got = {r.row.doc_id: r.score for r in module.score_documents(docs, model).collect()}
+        assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in rows[300:]]) > 0.95
+
+
+def test_labelled_sample_keeps_its_bounds(spark):
+    rows = [(i, "x" * (10 * (i % 7) + 1)) for i in range(40)] * 5 + [(3, None), (3, ""), (50, "z" * 900), (51, "v" * 800)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(50, 0), (51, 1), (60, 1)], "doc_id long, label int")
+    sample, counts = labelled_sample(documents(spark, rows), labels, "label", 30, 700)
+    got = sample.collect()
+    assert counts == {0: 21, 1: 22} and len(got) <= 42 and sum(len(r.text) for r in got) <= 700
+    assert all(300 < sum(len(r.text) for r in got if r.y == y) <= 350 for y in (0, 1))
+    sample, counts = labelled_sample(documents(spark, rows), labels, "label", 30, 10 ** 6)
+    assert sorted((r.y, len(r.text)) for r in sample.collect()) == sorted([(i % 2, 10 * (i % 7) + 1) for i in range(40)] + [(0, 900), (1, 800)])
+    sample, counts = labelled_sample(documents(spark, rows), labels.where("doc_id >= 50"), "label", 30, 10)
+    assert sorted((r.y, len(r.text)) for r in sample.collect()) == [(0, 900), (1, 800)] and counts == {0: 1, 1: 2}
+    assert labelled_sample(documents(spark, rows), labels.where("doc_id IN (50, 60)"), "label", 30, 10)[1] == {0: 1}
+
+
 def test_quality_sees_the_whole_text():
     filters = np.zeros((quality.WIDTH, 256, quality.FILTERS), np.float32)
     filters[:, ord("#"), 0] = 1

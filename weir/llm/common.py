@@ -39,13 +39,17 @@ def held_out(id: Column, parts: int, part: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, per_class: int, keep: Column | None = None, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, most_bytes: int, keep: Column | None = None, id: str = "doc_id", text: str = "text"
 ) -> tuple[DataFrame, dict[int, int]]:
-    """At most ``per_class`` labelled rows (y, text) of each class, and how many there are of each class.
+    """At most ``per_class`` labelled rows (y, text) of each class, and how many labels there are of each class with such rows.
 
     Rows come in the order of a hash of their id, so the choice does not depend on how the tables are
-    stored. Only ids are ranked; the texts of the chosen ids, at most ``2 * per_class`` of them, are
-    fetched by a broadcast join. ``keep`` is a condition on the id column ``_id``, if not all may be taken.
+    stored. Only ids are ranked. Of documents that repeat an id one is taken, if possible with a text. ``keep``
+    is a condition on the id column ``_id``, if not all may be taken.
+
+    The texts fit ``most_bytes`` together: a class has half of it, and what the other leaves. In the order of their
+    crc32, those are left out that do not fit; only if none does, the class's shortest is taken nevertheless. This is decided
+    by the lengths of at most ``2 * per_class`` texts; the texts themselves are fetched by a second broadcast join.
     """
     known = (
         labels.select(F.col(id).alias("_id"), F.col(label).cast("int").alias("y"))
@@ -57,7 +61,24 @@ def labelled_sample(
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(id).alias("_id"), F.coalesce(text, F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "_id").select("y", "text"), counts
+    size, crc = F.octet_length("text").cast("long").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc")
+    one = F.min(F.struct((size == 0).alias("empty"), crc, size)).alias("_one")
+    sized = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "y").agg(one).select("_id", "y", "_one.crc", "_one.size")
+    rows = sorted(sized.collect(), key=lambda r: (r.crc, r.size, r._id))
+    totals = [sum(r.size for r in rows if r.y == y) for y in (0, 1)]
+    fitting = []
+    for y in (0, 1):
+        own, left = [r for r in rows if r.y == y], max(most_bytes // 2, most_bytes - totals[1 - y])
+        taken = []
+        for r in own:
+            if r.size <= left:
+                taken.append(r)
+                left -= r.size
+        fitting += taken or sorted(own, key=lambda r: r.size)[:1]
+    fitting = docs.sparkSession.createDataFrame(fitting, sized.schema)
+    found = texts.join(F.broadcast(fitting), "_id").where((crc == F.col("crc")) & (size == F.col("size")))
+    sample = found.groupBy("_id", "y").agg(F.min("text").alias("text")).select("y", "text")
+    return sample, {y: n for y, n in counts.items() if any(r.y == y for r in rows)}
 
 
 def grouped_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -151,17 +151,15 @@ def fit(
 ) -> QualityModel:
     """Train on at most ``per_class`` labelled documents of each class whose ids (column ``_id``) meet ``keep``.
 
-    Classes count as they occur among all labels. One task trains; of the sample it takes whole texts up to
-    ``most_bytes`` in all. Without labels of both classes, every score is the share of label 1, 0 if there are none.
+    Classes count as they occur among all labels. One task trains, on whole texts of
+    ``most_bytes`` in all; longer ones are left out (see ``labelled_sample``). Without labelled documents of both classes, every score is the share of label 1, 0 if there are none.
     """
-    sample, counts = labelled_sample(docs, labels, label, per_class, keep, id, text)
+    sample, counts = labelled_sample(docs, labels, label, per_class, most_bytes, keep, id, text)
     if len(counts) < 2:
         return QualityModel(b"", b"", float(bool(counts.get(1))))
 
     def in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((zlib.crc32(t.encode("utf-8", "replace")), t, y) for b in batches for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist()))
-        sizes = np.cumsum([len(t) for _, t, _ in rows])
-        rows = rows[:max(1, int(np.searchsorted(sizes, most_bytes, "right")))]
         y = np.array([r[2] for r in rows])
         shown = np.maximum(1, np.bincount(y, minlength=2))
         model = train([r[1] for r in rows], y, np.array([counts[0] / shown[0], counts[1] / shown[1]])[y])
