@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import hashlib
+import math
 import os
 import re
 import zlib
@@ -405,6 +406,19 @@ def test_bayesian_bounds_grow_with_evidence():
     assert needed_matches(200, 25, 0.8, 1e-3)[-1] > least[-1]
 
 
+def test_pruning_misses_as_many_pairs_as_stated():
+    for similarity, stated in ((0.8, 8.4e-7), (0.82, 7.8e-8)):
+        p, alive, lost = similarity + (1 - similarity) / 256, {0: 1.0}, 0.0
+        for least in needed_matches(200, 25, 0.8, 1e-7):
+            grown = {}
+            for m, share in alive.items():
+                for k in range(26):
+                    grown[m + k] = grown.get(m + k, 0.0) + share * math.comb(25, k) * p ** k * (1 - p) ** (25 - k)
+            lost += sum(share for m, share in grown.items() if m < least)
+            alive = {m: share for m, share in grown.items() if m >= least}
+        assert abs(lost - stated) < 0.01 * stated
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (90, 90), (None, 3), (50, 60), (60, 70)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a int, b int")).collect()}
