@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filter, warc
-from weir.llm.common import labelled_sample
+from weir.llm.common import held_out, labelled_sample
 from weir.llm.components import components
 from weir.llm.near_documents import near_documents, needed_matches
 from weir.llm.near_vectors import near_vectors
@@ -467,6 +467,63 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert docs.select("doc_id").distinct().count() == sizes[4]
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    random = np.random.default_rng(10)
+    passage = "\n".join(" ".join(f"p{random.integers(0, 300)}" for _ in range(20)) for _ in range(3))
+    rows = []
+    for i in range(300):
+        text = " ".join([f"v{x}" for x in random.integers(0, 2000, 60)] + list(random.choice(CLEAN, 6)))
+        if i % 4 == 1:
+            text = text.replace(" ", "### ")
+        if i % 5 == 2:
+            text = text + " You are a vilegrub and no more. Such a vilegrub!"
+        if i % 30 == 0:
+            text = text + "\n" + passage
+        rows.append((i, text))
+    for i in range(0, 60, 4):
+        rows += [(1000 + i, rows[i][1]), (2000 + i, rows[i][1].replace(" v", " changed v", 1))]
+    rows += [(3000, "a <|endoftext|> quiet day in the long valley! " + " ".join(f"u{n}" for n in range(9000))), (3001, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 4 != 1), int(i % 5 == 2)) for i in range(300)], "doc_id long, quality int, toxic int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    sizes = [len(rows)]
+
+    model = quality.fit(docs, labels, ~held_out(F.col("_id"), 4, 2))
+    rows = [r for r, score in zip(rows, quality.probabilities([t for _, t in rows], model)) if score >= 0.5]
+    sizes.append(len(rows))
+    model = toxicity.fit(documents(spark, rows), labels, ~held_out(F.col("_id"), 5, 0))
+    rows = [r for r, score in zip(rows, toxicity.judge([t for _, t in rows], model)[0]) if score < 0.5]
+    sizes.append(len(rows))
+    deleted = brute_force_lines(rows, 50)
+    rows = [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in set(deleted[i, t]))) for i, t in rows]
+    sets = []
+    for _, t in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
+        sets.append({tuple(words[n:n + 5]) for n in range(max(1, len(words) - 4))} if words else set())
+    near = [[b for b in range(len(rows)) if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])] for a in range(len(rows))]
+    group = [i for i, _ in rows]
+    for _ in rows:
+        group = [min([group[a], *(group[b] for b in near[a])]) for a in range(len(rows))]
+    rows = [r for r, g in zip(rows, group) if r[0] == g]
+    sizes.append(len(rows))
+    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 50 and sum(map(len, deleted.values())) > 9
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    expected = {i: tokenizer.encode(t, add_special_tokens=False).ids + [2] for i, t in rows}
+    pieces = sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda p: (p.sequence_id, p.offset))
+    assert {p.doc_id for p in pieces} == set(expected)
+    at, seen = 0, dict.fromkeys(expected, 0)
+    for p in pieces:
+        assert (p.sequence_id, p.offset) == divmod(at, 4096) and p.start == seen[p.doc_id] and p.doc_tokens == len(expected[p.doc_id])
+        assert p.ids_crc32 == zlib.crc32(np.array(expected[p.doc_id][p.start:p.start + p.length], "<u4").tobytes())
+        seen[p.doc_id] += p.length
+        at += p.length
+    assert seen == {i: len(x) for i, x in expected.items()}
+
+
 def test_no_python_in_line_dedup(spark, sf_dir):
     plan = QUERIES["op3_line_dedup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
