@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filter, warc
+from weir.llm import byte_bpe, line_dedup, packing, quality, spelling, toxicity, url_filter, warc
 from weir.llm.common import held_out
 from weir.llm.near_documents import near_documents
 from weir.llm.near_vectors import near_vectors
@@ -75,6 +75,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents"), 7)
+    words = runs.select(spelling.with_misprints(F.col("run"), F.col("id"), 31).alias("word"))
+    return spelling.spelling_variants(spelling.counted(words, 7, 2))
+
+
 TOP_K_SQL = """
     WITH whole AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -91,6 +97,7 @@ QUERIES = {
     for q in (
         op1_url_filter, op2_packing, op3_line_dedup, op4_embedding_near_dedup, op5_toxicity, op6_byte_bpe,
         op7_top_k_search, op8_quality, op9_minhash_near_dedup, op10_warc,
+        op11_spelling_variants,
     )
 }
 
