@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import byte_bpe, line_dedup, packing, quality, spelling, toxicity, url_filter, warc, weak_rules
+from weir.llm import byte_bpe, divergence, line_dedup, packing, quality, spelling, toxicity, url_filter, warc, weak_rules
 from weir.llm.common import held_out
 from weir.llm.near_documents import near_documents
 from weir.llm.near_vectors import near_vectors
@@ -81,6 +81,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(spelling.counted(words, 7, 2))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = weak_rules.judge_documents(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -103,7 +107,7 @@ QUERIES = {
     for q in (
         op1_url_filter, op2_packing, op3_line_dedup, op4_embedding_near_dedup, op5_toxicity, op6_byte_bpe,
         op7_top_k_search, op8_quality, op9_minhash_near_dedup, op10_warc,
-        op11_spelling_variants, op13_quality_rules,
+        op11_spelling_variants, op12_source_divergence, op13_quality_rules,
     )
 }
 
@@ -112,5 +116,6 @@ ORACLE_SQL = {
     "op3_line_dedup": line_dedup.dedup_sql(),
     "op7_top_k_search": TOP_K_SQL,
     "op10_warc": warc.WARC_SQL,
+    "op12_source_divergence": divergence.DIVERGENCE_SQL,
     "op13_quality_rules": weak_rules.judge_sql(),
 }
