@@ -98,7 +98,7 @@ def signature_keys(words: list[str]) -> Iterator[tuple[bool, np.ndarray]]:
     for left_out in combinations(range(PARTS), TOUCHED):
         kept = sum((parts[p] for p in range(PARTS) if p not in left_out), np.full(n, left_out[0] * PARTS + left_out[1], np.uint64))
         for longer, half in halves:
-            yield longer, _mixed(_mixed(kept) + half).view(np.int64)
+            yield longer, _mixed(_mixed(kept) * np.uint64(3) + half).view(np.int64)
 
 
 def signatures(words: DataFrame) -> DataFrame:
@@ -124,7 +124,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     keyed = signatures(words)
     left = keyed.where("NOT longer").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
     right = keyed.select("key", "longer", F.col("word").alias("b"), F.col("n").alias("n_b"))
-    meet = (left["key"] == right["key"]) & (F.col("longer") | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
+    # Whatever keys happen to be equal, a pair has one order: the shorter word first, of equal ones the smaller.
+    ordered = F.when(F.col("longer"), F.length("a") < F.length("b")).otherwise((F.length("a") == F.length("b")) & (F.col("a") < F.col("b")))
+    meet = (left["key"] == right["key"]) & (F.levenshtein("a", "b", 1) == 1) & ordered
     return left.join(right, meet).select("a", "n_a", "b", "n_b").distinct()
 
 
