@@ -1,6 +1,7 @@
 """Option mapping, files and tables."""
 
 import glob
+import os
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -10,9 +11,10 @@ from weir.catalog.frames import daily_cells, table
 from weir.config import LogOptions, StreamOptions
 from weir.operators import keyed
 from weir.sinks import payloads, tables
+from weir.sinks import files as file_sinks
 from weir.sources import files, logs
 from weir.streaming.run import triggered
-from weir.workspace import scratch, shared_dir
+from weir.workspace import run_folder, scratch, shared_dir
 
 
 def tuples(df):
@@ -159,3 +161,110 @@ def test_shared_folder_is_the_configured_one(spark):
     if configured:
         assert shared_dir(spark) == configured.rstrip("/")
     assert scratch(spark, "x").startswith(shared_dir(spark)) and scratch(spark, "x") != scratch(spark, "x")
+
+
+def file_sizes(path, by):
+    """Sizes of the files per value of ``by`` and task, in the order they were written."""
+    found = {}
+    for file in sorted(glob.glob(f"{path.removeprefix('file:')}/**/part-*", recursive=True)):
+        value, roll = (part.partition("=")[2] for part in file.split("/")[-3:-1])
+        found.setdefault((value, roll.split("-")[0]), []).append(os.path.getsize(file))
+    return found
+
+
+def test_files_roll_at_their_size(spark):
+    """One model has most rows; a line longer than a file is a file of its own."""
+    path = scratch(spark, "rolled")
+    rows = [(i, "hot" if i % 10 else f"m{i % 30}", "é" * (i % 90)) for i in range(4000)] + [(9999, "hot", "x" * 5000), (9998, None, "y")]
+    df = spark.createDataFrame(rows, "id int, model string, text string")
+    tables.write_rolled(df, path, "model", most=2000)
+    files = file_sizes(path, "model")
+    assert len(files[("hot", next(t for v, t in files if v == "hot"))]) > 20
+    for sizes in files.values():
+        assert all(2000 <= s < 2000 + 5100 for s in sizes[:-1]) and sizes[-1] < 2000 + 5100
+        assert sum(s >= 2200 for s in sizes) <= 1
+    assert tuples(tables.read_rolled(spark, path, df.schema, "model")) == tuples(df.withColumn("text", F.nullif("text", F.lit(""))))
+
+
+def test_streamed_files_roll_and_a_repeated_batch_counts_once(spark):
+    inbox, path, checkpoint = scratch(spark, "inbox"), scratch(spark, "rolled"), scratch(spark, "c")
+    df = spark.range(500).select("id", (F.col("id") % 2).cast("string").alias("model"))
+    df.write.parquet(inbox)
+    for _ in range(2):  # without its checkpoint the stream repeats batch 0
+        stream = logs.file_stream(spark, inbox, df.schema)
+        tables.stream_rolled(stream, path, "model", StreamOptions(f"{checkpoint}{_}"), most=300).awaitTermination()
+    back = tables.read_rolled(spark, path, df.schema, "model")
+    assert tuples(back) == tuples(df)
+    assert len(glob.glob(f"{path.removeprefix('file:')}/batch_id=0/model=1/*/part-*")) >= 3
+
+
+def test_a_failed_task_leaves_nothing_in_the_log(spark):
+    """One of the records cannot be computed; the others' files are not published, and a second attempt is whole."""
+    path = scratch(spark, "log")
+    records = spark.range(100, numPartitions=4).select((F.col("id") % 3).cast("int").alias("partition"), F.col("id").alias("offset"))
+    payloads.write_log_files(records.where("offset < 10"), path)
+    broken = records.withColumn("offset", F.when(F.col("offset") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("offset")))
+    with pytest.raises(Exception, match="lost"):
+        file_sinks.append(broken, file_sinks.LogFiles, path)
+    assert spark.read.parquet(path).count() == 10
+    payloads.write_log_files(records.where("offset >= 10"), path)
+    assert sorted(tuples(spark.read.parquet(path).select("offset", "partition"))) == [(i, i % 3) for i in range(100)]
+
+
+def test_log_keeps_records_without_a_partition(spark):
+    path = scratch(spark, "log")
+    df = spark.createDataFrame([("a", None, None), ("b", 5, 2.5), (None, 5, 1.0)], "value string, partition int, score double")
+    payloads.write_log_files(df, path)
+    assert tuples(spark.read.parquet(path).select("value", "partition", "score")) == tuples(df)
+
+
+def test_many_partitions_in_a_task(spark):
+    path = scratch(spark, "log")
+    df = spark.range(400).coalesce(1).select((F.col("id") % 150).cast("int").alias("partition"), F.col("id").alias("offset"))
+    file_sinks.append(df, file_sinks.LogFiles, path)
+    assert sorted(tuples(spark.read.parquet(path).select("offset", "partition"))) == [(i, i % 150) for i in range(400)]
+
+
+def scanned(df):
+    """Rows that the scans of a query read, after row groups were left out."""
+    df.collect()
+    metrics, waiting = 0, [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+        if node.nodeName().startswith("Scan"):
+            metrics += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return metrics
+
+
+def test_point_scan_reads_only_groups_with_the_keys(spark):
+    """Forty keys all over the table: an IN list would read everything between the smallest and the largest."""
+    path = scratch(spark, "cells")
+    cells = spark.range(60000).select(
+        F.concat(F.lpad((F.col("id") * 2).cast("string"), 8, "0"), F.lit("#k")).alias("row_key"), F.lit("v:a").alias("column_key"), F.lit(1.0).alias("value"))
+    spark.conf.set("parquet.block.size", str(16 * 1024))
+    try:
+        keyed.write_cells(cells, path)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    stored = spark.read.parquet(path)
+    here, absent = [f"{i * 3000:08d}#k" for i in range(40)], [f"{i * 3000 + 1:08d}#k" for i in range(40)]
+    found = keyed.point_scan(stored, here + absent + here[:3])
+    assert tuples(found.select("row_key")) == [(k,) for k in here]
+    assert scanned(keyed.point_scan(stored, absent)) < 60000 / 4
+    assert keyed.point_scan(stored, []).count() == 0
+    assert keyed.point_scan(stored, [f"{i:08d}#k" for i in range(3000)]).count() == 1500
+
+
+def test_a_run_leaves_nothing_behind(spark):
+    with run_folder(spark) as folder:
+        path = scratch(spark, "inner")
+        assert path.startswith(folder)
+        spark.range(3).write.parquet(path)
+        with run_folder(spark) as inner:
+            assert inner.startswith(folder)
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert not scratch(spark, "outer").startswith(folder)

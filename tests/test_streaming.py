@@ -1,5 +1,6 @@
 """Streams give what the batch gives; replays add nothing."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,8 +10,10 @@ from weir.config import AggregationOptions, LogOptions, StreamOptions
 from weir.operators.select import closed_windows
 from weir.catalog.frames import HOUR, MINUTE, hourly, table, table_stream, utc
 from weir.plans import web_etl
-from weir.sources import logs
-from weir.streaming import commit, dedup, merge, run, windows
+from weir.sinks.payloads import stream_log_files, write_log_files
+from weir.sources import log_ranges, logs
+from weir.streaming import commit, dedup, measures, run, stateful, windows
+from weir.streaming.keyed_table import KeyedTable
 from weir.workspace import scratch
 
 
@@ -62,13 +65,6 @@ def test_late_modes(spark):
         windows.stream_windowed_agg(inbox(spark, *batches), "ts", HOUR, MINUTE, "k", "k", "x", StreamOptions("c"), late="?")
 
 
-def test_replayed_batch_replaces_itself(spark):
-    out = scratch(spark, "commits")
-    for batch_id, n in [(0, 3), (1, 4), (1, 4), (0, 3)]:
-        commit.commit_once(spark.range(n), batch_id, out)
-    assert commit.committed(spark, out).count() == 7
-
-
 def test_failed_batch_is_replayed_once(spark):
     """A batch that fails after its commit runs again on restart; its rows count once."""
     stream = inbox(spark, [(1, at(0), "a")], [(2, at(1), "a"), (3, at(2), "b")])
@@ -137,23 +133,83 @@ def test_a_new_checkpoint_replaces_nothing(spark):
     assert sorted(r.id for r in commit.committed(spark, out).collect()) == [1, 2, 3, 4, 5, 6]
 
 
-def test_unpublished_rows_are_not_seen(spark):
+def test_replayed_batch_replaces_itself(spark):
+    """A replay may hold other rows than the attempt before it; one of both counts."""
     out = scratch(spark, "commits")
-    commit.commit_once(spark.range(3), 0, out)
-    spark.range(5).write.parquet(f"{out}/rows/_attempt=broken")
-    assert commit.committed(spark, out).count() == 3
+    for batch_id, n in [(0, 3), (1, 4), (1, 5), (0, 3)]:
+        commit.commit_once(spark.range(n), batch_id, out, "job")
+    assert commit.committed(spark, out).count() == 8
 
 
-def test_compaction_keeps_rows_and_ids(spark):
+def test_writers_do_not_replace_each_other(spark):
+    """Two jobs outside of a stream each commit their batch 0; a job without a name is refused."""
+    out = scratch(spark, "commits")
+    commit.commit_once(spark.range(3), 0, out, "first")
+    commit.commit_once(spark.range(5), 0, out, "007")
+    assert commit.committed(spark, out).count() == 8
+    assert {r.writer for r in commit.by_writer(spark, out).collect()} == {"first", "007"}
+    with pytest.raises(ValueError, match="writer"):
+        commit.commit_once(spark.range(3), 0, out)
+    with pytest.raises(ValueError, match="several writers"):
+        commit.latest(spark, out, ["id"])
+    with pytest.raises(ValueError, match="nothing"):
+        commit.committed(spark, scratch(spark, "none"))
+
+
+def test_the_latest_batch_wins_whenever_it_was_written(spark):
     out = scratch(spark, "commits")
-    for batch_id in range(3):
-        commit.commit_once(spark.range(2).withColumn("n", F.lit(batch_id)), batch_id, out)
-    commit.compact(spark, out, lambda rows: commit.newest(rows, ["id"]))
-    commit.remove_folded(spark, out)
-    assert tuples(commit.latest_values(spark, out, "id", "n")) == [(0, 2), (1, 2)]
-    commit.commit_once(spark.range(2).withColumn("n", F.lit(7)), 1, out)
-    commit.commit_once(spark.range(1).withColumn("n", F.lit(3)), 3, out)
-    assert tuples(commit.latest_values(spark, out, "id", "n")) == [(0, 3), (1, 2)]
+    for batch_id, n in [(2, 9), (0, 7), (1, 8)]:
+        commit.commit_once(spark.range(2).withColumn("n", F.lit(n)), batch_id, out, "job")
+    assert tuples(commit.latest_values(spark, out, "id", "n")) == [(0, 9), (1, 9)]
+
+
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "k string, v long, at long")
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_keyed_table_applies_batches_in_order(spark, buckets):
+    table_ = KeyedTable(scratch(spark, "keyed"), ("k",), buckets)
+    with pytest.raises(ValueError, match="nothing"):
+        table_.read(spark)
+    table_.merge(keyed(spark, [("a", 1, 1), ("a", 2, 2), ("b", 3, 1), (None, 4, 1)]), 0, "w", order=["at"])
+    for _ in range(2):
+        table_.merge(keyed(spark, [("b", 5, 1), ("c", 6, 1)]), 3, "w", order=["at"])
+    assert tuples(table_.read(spark)) == sorted([("a", 2), ("b", 5), ("c", 6), (None, 4)], key=repr)
+    with pytest.raises(ValueError, match="after batch 3"):
+        table_.merge(keyed(spark, [("b", 9, 9)]), 2, "w", order=["at"])
+    with pytest.raises(ValueError, match="writer is w"):
+        table_.merge(keyed(spark, [("b", 9, 9)]), 4, "other", order=["at"])
+    table_.merge(keyed(spark, [(k, 0, 1) for k in ("a", "b", "c", None)]), 4, "w", order=["at"], deleted=F.lit(True))
+    assert table_.read(spark).count() == 0
+    table_.merge(keyed(spark, [("a", 7, 1)]), 5, "w", order=["at"])
+    assert tuples(table_.read(spark)) == [("a", 7)]
+
+
+def test_keyed_table_adds_once_and_leaves_other_buckets_alone(spark):
+    path = scratch(spark, "keyed")
+    table_ = KeyedTable(path, ("k",), 16)
+    cells = spark.createDataFrame([(f"k{i}", 1.0) for i in range(200)], "k string, value double")
+    table_.add(cells, 0, "w")
+    written = {f for f in spark.read.parquet(path).inputFiles()}
+    for _ in range(2):
+        table_.add(spark.createDataFrame([("k7", 5.0), ("k7", 1.0), ("new", 2.0)], cells.schema), 1, "w")
+    found = dict(tuples(table_.read(spark)))
+    assert found["k7"] == 7.0 and found["new"] == 2.0 and len(found) == 201
+    kept = written & set(spark.read.parquet(path).inputFiles())
+    assert len(kept) >= len(written) * 14 // 16 and kept != written
+
+
+def test_a_cut_short_batch_is_completed_by_its_replay(spark):
+    """As if the job had died with only some buckets renamed: those of batch 1 that are missing are applied, the others are not."""
+    path = scratch(spark, "keyed")
+    table_ = KeyedTable(path, ("k",), 8)
+    cells = spark.createDataFrame([(f"k{i}", 1.0) for i in range(100)], "k string, value double")
+    table_.add(cells, 0, "w")
+    bucket = F.pmod(F.xxhash64("k"), F.lit(8))
+    table_.add(cells.where(bucket < 3), 1, "w")
+    table_.add(cells, 1, "w")
+    assert {r.value for r in table_.read(spark).collect()} == {2.0}
 
 
 def test_late_payloads_are_added_and_bad_ones_kept(spark):
@@ -162,10 +218,138 @@ def test_late_payloads_are_added_and_bad_ones_kept(spark):
         return (f'{{"Timestamp":"1/1/2024 12:{minute:02d}:00 AM","Result":"OK","Client":"{client}"}}',)
 
     stream = inbox(spark, [payload(0, "a"), payload(30, "a")], [payload(0, "a"), ('{"Result":"OK"}',)], schema="payload string")
-    path, bad = scratch(spark, "cells"), scratch(spark, "bad")
+    cells, bad = web_etl.cell_table(scratch(spark, "cells"), 4), scratch(spark, "bad")
     for query in web_etl.stream_web_etl(
-        stream, "payload", AggregationOptions(), path, bad, StreamOptions(scratch(spark, "c")), late="merge"
+        stream, "payload", AggregationOptions(), cells, bad, StreamOptions(scratch(spark, "c")), late="merge"
     ):
         query.awaitTermination()
-    assert tuples(merge.stored_cells(spark, path)) == [("OK#20240101000000", "v:a", 2.0), ("OK#20240101003000", "v:a", 1.0)]
+    assert tuples(cells.read(spark)) == [("OK#20240101000000", "v:a", 2.0), ("OK#20240101003000", "v:a", 1.0)]
     assert spark.read.parquet(bad).count() == 1
+
+
+def test_every_row_gets_its_count_across_restarts(spark):
+    """Key a holds most rows; numbers go on after a restart and never repeat."""
+    path, out, options = scratch(spark, "inbox"), scratch(spark, "out"), StreamOptions(scratch(spark, "c"))
+    schema = "k string, x int"
+    for keys in ("aabac", "ab", "aaaaaaaaaad"):
+        spark.createDataFrame([(k, i) for i, k in enumerate(keys)] + [(None, 9)], schema).write.mode("append").parquet(path)
+        stream = logs.file_stream(spark, path, spark.createDataFrame([], schema).schema)
+        run.to_files(stateful.running_count_per_row(stream, "k", 3), out, options).awaitTermination()
+    got = sorted((r.k, r.n) for r in spark.read.parquet(out).collect())
+    assert got == sorted([("a", n) for n in range(1, 15)] + [("b", 1), ("b", 2), ("c", 1), ("d", 1)])
+    assert spark.read.parquet(out).columns == ["k", "x", "n"]
+
+
+def test_buffers_flush_when_full_or_at_the_tick(spark):
+    """25 rows of buffer 0 fill it twice; what is left, and the rows without a buffer, leave at the tick. A restart keeps what is held."""
+    path, out = scratch(spark, "inbox"), scratch(spark, "out")
+    options = StreamOptions(scratch(spark, "c"), trigger=timedelta(milliseconds=300))
+    schema = "id long, b int"
+
+    def wait_for(n, tick):
+        stream = logs.file_stream(spark, path, spark.createDataFrame([], schema).schema)
+        query = run.to_batches(stateful.flushed(stream, F.col("b"), 10, tick), commit.committer(out), options)
+        end = time.monotonic() + 120
+        while time.monotonic() < end:
+            try:
+                if commit.committed(spark, out).count() >= n:
+                    break
+            except ValueError:
+                pass
+            time.sleep(0.2)
+        query.stop()
+
+    spark.createDataFrame([(i, 0) for i in range(25)], schema).coalesce(1).write.parquet(path)
+    wait_for(20, timedelta(hours=1))
+    assert commit.committed(spark, out).count() == 20
+    spark.createDataFrame([(i, 0) for i in range(25, 31)] + [(50, None)], schema).coalesce(1).write.mode("append").parquet(path)
+    wait_for(30, timedelta(seconds=1))
+    sizes = {(r.buffer, r.flush): r["count"] for r in commit.committed(spark, out).groupBy("buffer", "flush").count().collect()}
+    assert sizes[(0, 1)] == sizes[(0, 2)] == sizes[(0, 3)] == 10
+    ids = sorted(r.id for r in commit.committed(spark, out).where("buffer = 0 AND flush <= 3").collect())
+    assert ids == list(range(30))
+    with pytest.raises(ValueError, match="at least one"):
+        stateful.flushed(inbox(spark, [(1, at(0), "a")]), F.col("id"), 0, MINUTE)
+
+
+def test_shares_of_a_capped_batch():
+    assert log_ranges.capped({0: 5, 1: 0}, {0: 9, 1: 100}, None) == {0: 9, 1: 100}
+    assert log_ranges.capped({0: 0, 1: 0, 2: 7}, {0: 2, 1: 100, 2: 7}, 10) == {0: 2, 1: 8, 2: 7}
+    assert log_ranges.capped({0: 0, 1: 0}, {0: 50, 1: 50}, 3) == {0: 2, 1: 1}
+    assert log_ranges.capped({}, {}, 3) == {}
+
+
+def test_log_is_read_by_records_from_where_it_was_left(spark):
+    """What the batches read are the ranges that ``next_ranges`` gives between their ends; a failed batch is read again."""
+    log, options, seen, crash = scratch(spark, "log"), StreamOptions(scratch(spark, "c"), trigger=timedelta(milliseconds=10)), [], {"armed": True}
+
+    def put(low, high):
+        write_log_files(spark.range(low, high).selectExpr(
+            "cast(id % 3 as int) partition", "id div 3 offset", "timestamp_seconds(id) timestamp", "cast(cast(id as string) as binary) value"), log)
+
+    def note(batch, batch_id):
+        rows = batch.select("partition", "offset", "timestamp", F.col("value").cast("string").alias("value")).collect()
+        if batch_id == 1 and crash.pop("armed", False):
+            raise RuntimeError("executor lost")
+        assert all(r.value == str(3 * r.offset + r.partition) for r in rows)
+        seen.append((batch_id, {p: sorted(r.offset for r in rows if r.partition == p) for p in {r.partition for r in rows}}))
+
+    def go():
+        stream = logs.log_source(spark, "log", log, LogOptions(starting="earliest", max_per_trigger=40), "binary")
+        query = run.to_batches(stream, note, options)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    put(0, 90)
+    with pytest.raises(Exception, match="executor lost"):
+        go()
+    go()
+    put(90, 100)
+    go()
+    assert [b for b, _ in seen] == [0, 1, 2, 3]
+    assert [sum(map(len, held.values())) for _, held in seen] == [40, 40, 10, 10]
+    ends = {p: 0 for p in range(3)}
+    for _, held in seen:
+        latest = spark.createDataFrame([(p, 0, offsets[-1] + 1) for p, offsets in held.items()], "partition int, begin_offset long, end_offset long")
+        previous = spark.createDataFrame([(p, 0, e) for p, e in ends.items()], latest.schema)
+        ranges = {r.partition: (r.begin_offset, r.end_offset) for r in logs.next_ranges(latest, previous).collect()}
+        assert ranges == {p: (offsets[0], offsets[-1] + 1) for p, offsets in held.items()}
+        assert all(offsets == list(range(*ranges[p])) for p, offsets in held.items())
+        ends |= {p: offsets[-1] + 1 for p, offsets in held.items()}
+
+
+def test_log_starts_where_it_is_told(spark):
+    log = scratch(spark, "log")
+    write_log_files(spark.range(20).selectExpr("cast(id % 2 as int) partition", "id div 2 offset", "timestamp_seconds(id) timestamp", "cast('x' as binary) value"), log)
+    for starting, n in (("earliest", 20), ('{"0": 7, "1": 10}', 3), ("latest", 0)):
+        out = []
+        stream = log_ranges.log_stream(spark, log, starting=starting)
+        query = run.to_batches(stream, lambda b, _: out.append(b.count()), StreamOptions(scratch(spark, "c"), trigger=timedelta(milliseconds=10)))
+        query.processAllAvailable()
+        query.stop()
+        assert sum(out) == n
+
+
+def test_streamed_log_is_read_back(spark):
+    """What a stream appends to the log, micro-batch by micro-batch, is there once."""
+    log = scratch(spark, "log")
+    stream = inbox(spark, [(i, at(0), "a") for i in range(5)], [(i, at(0), "a") for i in range(5, 9)])
+    records = stream.select((F.col("id") % 2).cast("int").alias("partition"), F.col("id").alias("offset"))
+    stream_log_files(records, log, StreamOptions(scratch(spark, "c"))).awaitTermination()
+    assert tuples(spark.read.parquet(log).select("offset", "partition")) == [(i, i % 2) for i in range(9)]
+
+
+def test_totals_go_on_after_restarts(spark):
+    path, out, options = scratch(spark, "inbox"), scratch(spark, "out"), StreamOptions(scratch(spark, "c"))
+    schema = spark.createDataFrame([], "tick long, n long").schema
+
+    def go():
+        measures.carry_totals(logs.file_stream(spark, path, schema), "tick", "n", out, options).awaitTermination()
+
+    for rows in ([(1, 5), (2, 7)], [(3, 1)], [(4, 2), (5, 3)]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+        go()
+    got = tuples(measures.totals_so_far(spark, out, ["tick", "n", "running_total"]))
+    assert got == [(1, 5, 5), (2, 7, 12), (3, 1, 13), (4, 2, 15), (5, 3, 18)]

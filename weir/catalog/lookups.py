@@ -11,9 +11,12 @@ from weir.catalog.frames import DAILY_CELLS, daily_cells, hourly, part_models, t
 from weir.functions.keys import row_key
 from weir.operators import enrich, keyed
 from weir.plans import vehicle_enrich
-from weir.streaming import merge
+from weir.streaming.keyed_table import KeyedTable
 from weir.workspace import scratch
 
+#: Buckets of the stored tables; the test tables are small.
+_BUCKETS = 8
+
 _ENRICHED = """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, p_name AS model
     FROM lineitem JOIN part ON l_partkey = p_partkey + 5
@@ -94,18 +97,17 @@ def k5_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM customer WHERE c_custkey % 11 <> 0
 """)
 def k5_k6_stored_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored table after upserts and deletes, each batch merged twice, folded in between."""
-    base, path, key = table(spark, sf_dir, "customer"), scratch(spark, "merged"), ["c_custkey"]
+    """A stored table after upserts and deletes, each batch delivered twice."""
+    base = table(spark, sf_dir, "customer")
+    stored = KeyedTable(scratch(spark, "merged"), ("c_custkey",), _BUCKETS)
     changes = base.where("c_custkey % 7 = 0").withColumn("version", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
         "c_acctbal", F.round(F.col("c_acctbal") + F.col("version"), 2)
     )
     doomed = base.where("c_custkey % 11 = 0")
-    for _ in range(2):
-        merge.merge_once(base, 0, path, key)
-        merge.merge_once(changes, 1, path, key, order=["version"])
-        merge.compact_merged(spark, path, key)
-        merge.merge_once(doomed, 2, path, key, deleted=F.lit(True))
-    return merge.merged(spark, path, key).select(*base.columns).withColumn("c_acctbal", F.round("c_acctbal", 2))
+    for batch_id, (batch, order, deleted) in enumerate(((base, [], None), (changes, ["version"], None), (doomed, [], F.lit(True)))):
+        for _ in range(2):
+            stored.merge(batch, batch_id, "customers", order, deleted)
+    return stored.read(spark).select(*base.columns).withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
 @query("SELECT * FROM customer WHERE c_custkey % 11 <> 0")
@@ -151,12 +153,12 @@ def k7_wide_merge_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _merged_twice(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     """Both inputs written to a stored table, each twice under its batch id."""
-    path = scratch(spark, "cells")
+    stored = KeyedTable(scratch(spark, "cells"), tuple(keyed.CELL), _BUCKETS)
+    change = stored.add if mode == "add" else stored.merge
     for batch_id, cells in enumerate(_merge_inputs(spark, sf_dir)):
         for _ in range(2):
-            merge.cells_once(cells, batch_id, path, mode)
-        merge.compact_cells(spark, path, mode)
-    return merge.stored_cells(spark, path, mode)
+            change(cells, batch_id, "cells")
+    return stored.read(spark)
 
 
 @query(f"SELECT row_key, column_key, sum(value) AS value FROM ({_OLD} UNION ALL {_NEW}) GROUP BY ALL")

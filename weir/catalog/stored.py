@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir.catalog import query
+from weir.catalog.columns import _WORTH
 from weir.catalog.frames import DAILY_CELLS, daily_cells, lines, table, vehicle_json, vehicles
 from weir.functions.keys import key_partition
 from weir.operators import keyed, words
@@ -26,6 +27,15 @@ def k1_delimited_files_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(in_files.add("l_returnflag", T.StringType())).csv(path)
 
 
+@query("SELECT * FROM lineitem")
+def k1_rolled_files_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a megabyte, a folder per flag."""
+    items = table(spark, sf_dir, "lineitem")
+    path = scratch(spark, "rolled")
+    tables.write_rolled(items, path, "l_returnflag")
+    return tables.read_rolled(spark, path, items.schema, "l_returnflag")
+
+
 @query("SELECT * FROM orders")
 def k2_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
@@ -126,18 +136,30 @@ def k11_event_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS value FROM orders")
+@query(f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS value,
+           CASE WHEN length(k) >= 4 THEN ({" + ".join(_WORTH.format(i) for i in range(1, 5))}) % 32 END AS "partition"
+    FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k FROM orders)
+""")
 def k12_keyed_log_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records in a log of files, in 32 partitions by their key."""
+    """Records in a log of files, in 32 partitions by their key; keys that are too short have none."""
     path = scratch(spark, "log")
     records = payloads.keyed_payload(table(spark, sf_dir, "orders"), "o_orderkey", "o_orderpriority")
     payloads.write_log_files(records.withColumn("partition", key_partition(F.col("key"), 32)), path)
-    return spark.read.parquet(path).select("key", "value")
+    return spark.read.parquet(path).select("key", "value", "partition")
 
 
-@query("SELECT '0 = ' || event_id || ', 1 = ' || event_type || ', 2 = ' || value AS line FROM events")
+@query("""
+    SELECT 'row ' || row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id)
+           || ': 0 = ' || event_id || ', 1 = ' || event_type || ', 2 = ' || value AS line
+    FROM events
+""")
 def k13_console_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payloads.console_lines(table(spark, sf_dir, "events").select("event_id", "event_type", "value")).select("line")
+    """Lines of four tasks, each numbering its own."""
+    events, path = table(spark, sf_dir, "events"), scratch(spark, "lines")
+    dealt = events.repartitionById(4, (F.col("event_id") % 4).cast("int")).sortWithinPartitions("event_id")
+    payloads.write_lines(dealt.select("event_id", "event_type", "value"), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 @query("""
@@ -181,6 +203,16 @@ def s9_point_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.point_scan(_stored_cells(spark, sf_dir), ["view#20240105000000", "error#20240129000000"])
 
 
+@query(f"""
+    SELECT * FROM ({DAILY_CELLS})
+    WHERE row_key IN (SELECT event_type || '#' || strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') FROM events WHERE extract('day' FROM ts) % 3 = 0)
+""")
+def s9_many_points_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row keys of every third day, some of which are not stored, each pushed into the scan."""
+    types = ["click", "error", "purchase", "signup", "view", "none"]
+    return keyed.point_scan(_stored_cells(spark, sf_dir), [f"{t}#202401{day:02d}000000" for t in types for day in range(3, 32, 3)])
+
+
 @query("""
     SELECT c_mktsegment AS model, count(*) AS vehicles
     FROM (SELECT substr(repeat(CAST(o_custkey AS VARCHAR), 17), 1, 17) AS vin FROM orders WHERE o_orderkey % 10 <> 0)

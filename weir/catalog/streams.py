@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from weir.catalog import query
 from weir.catalog.aggregates import _HOURLY
@@ -17,14 +19,20 @@ from weir.catalog.lookups import _ENRICHED
 from weir.config import AggregationOptions, LogOptions, StreamOptions
 from weir.functions.times import duration
 from weir.operators import aggregate, enrich, parse
+from weir.operators.keyed import record_cells
 from weir.operators.select import positive_only
 from weir.plans import event_counter, vehicle_enrich, web_etl
+from weir.sinks.payloads import write_log_files
 from weir.sources import logs
-from weir.streaming import commit, merge, run, windows
+from weir.streaming import commit, measures, run, stateful, windows
 from weir.streaming.dedup import dedup
+from weir.streaming.keyed_table import KeyedTable
+from weir.sinks.tables import Target, read_table, replace_table
 from weir.workspace import scratch
 
 WEEK = timedelta(days=7)
+#: Buckets of the stored tables; the test tables are small.
+_BUCKETS = 8
 
 
 def _options(spark: SparkSession) -> StreamOptions:
@@ -59,18 +67,15 @@ def _hourly_where(condition: str) -> str:
     return _HOURLY.replace("FROM events", f"FROM events WHERE {condition}")
 
 
-def _windows(spark: SparkSession, sf_dir: str, parts: Sequence[Column], delay: timedelta, late: str = "drop", compacted: bool = False) -> DataFrame:
+def _windows(spark: SparkSession, sf_dir: str, parts: Sequence[Column], delay: timedelta, late: str = "drop") -> DataFrame:
     out = scratch(spark, "windows")
 
     def start(stream: DataFrame, options: StreamOptions):
         return windows.stream_windowed_agg(
-            stream, "ts", HOUR, delay, "event_type", "user_id", out, options, late=late
+            stream, "ts", HOUR, delay, "event_type", "user_id", out, options, late=late, buckets=_BUCKETS
         )
 
-    for part in ([p] for p in parts) if compacted else [parts]:
-        _deliver(utc(table(spark, sf_dir, "events").select("ts", "event_type", "user_id")), part, start)
-        if compacted:
-            commit.compact(spark, out, aggregate.re_aggregate)
+    _deliver(utc(table(spark, sf_dir, "events").select("ts", "event_type", "user_id")), parts, start)
     return windows.read_windows(spark, out, late).withColumn("agg_ts", naive("agg_ts"))
 
 
@@ -102,9 +107,17 @@ def t3_late_partials_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_HOURLY)
 def t3_late_partials_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, the partials folded into one table after each delivery."""
-    late = _before("2024-01-10")
-    return _windows(spark, sf_dir, [~late, late], MINUTE, late="merge", compacted=True)
+    """The same by committed partials, which are summed into a new table after each delivery."""
+    out, folded, late = scratch(spark, "partials"), Target(scratch(spark, "folded")), _before("2024-01-10")
+
+    def commit_partials(batch: DataFrame, batch_id: int) -> None:
+        commit.commit_once(aggregate.windowed_key_agg(batch, "ts", HOUR, "event_type", "user_id"), batch_id, out)
+
+    for part in (~late, late):
+        events = utc(table(spark, sf_dir, "events").select("ts", "event_type", "user_id"))
+        _deliver(events, [part], lambda stream, options: run.to_batches(stream, commit_partials, options))
+        replace_table(aggregate.re_aggregate(commit.committed(spark, out)), folded)
+    return read_table(spark, folded).withColumn("agg_ts", naive("agg_ts"))
 
 
 @query(_hourly_where("ts >= TIMESTAMP '2024-01-10' AND " + _closed("1 MINUTE")))
@@ -223,16 +236,85 @@ def t6_batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE word <> '' GROUP BY word
 """)
 def t9_per_key_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word counts of a stream: each micro-batch emits the words it changed, the last value stands."""
-    out = scratch(spark, "counts")
+    """Word counts of a stream: each micro-batch emits the words it changed, the last value stands in the stored table."""
+    stored = KeyedTable(scratch(spark, "counts"), ("word",), _BUCKETS)
 
     def start(stream: DataFrame, options: StreamOptions):
         counts = windows.running_counts(parse.split_words(stream, "text"), "word")
-        return run.to_batches(counts, commit.committer(out), options, mode="update")
+        return run.to_batches(counts, stored.merge, options, mode="update")
 
     texts = table(spark, sf_dir, "conversations").select("role", "text")
     _deliver(texts, [F.col("role") == "user", F.col("role") != "user"], start)
-    return commit.latest_values(spark, out, "word", "n")
+    return stored.read(spark)
+
+
+@query("""
+    SELECT word, row_number() OVER (PARTITION BY word) AS n
+    FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) WHERE word <> ''
+""")
+def t9_counts_per_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a word emits its count so far, over two deliveries with a restart between them."""
+    out = scratch(spark, "counts")
+
+    def start(stream: DataFrame, options: StreamOptions):
+        words = parse.split_words(stream, "text").select("word")
+        return run.to_files(stateful.running_count_per_row(words, "word", spark.sparkContext.defaultParallelism), out, options)
+
+    texts = table(spark, sf_dir, "conversations").select("role", "text")
+    _deliver(texts, [F.col("role") == "user", F.col("role") != "user"], start)
+    return spark.read.parquet(out)
+
+
+def _until(query, done: Callable[[], bool], seconds: int = 300) -> None:
+    """Let a query tick until ``done`` holds, then stop it."""
+    end = time.monotonic() + seconds
+    try:
+        while not done() and time.monotonic() < end and query.isActive:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+
+
+def _buffered(rows: DataFrame, buffer: Column, most: int, tick: timedelta) -> DataFrame:
+    """The stored flushes of a stream over ``rows``: buffers are filled in one delivery, the rest leaves at the tick."""
+    spark, out = rows.sparkSession, scratch(rows.sparkSession, "flushes")
+    options = StreamOptions(scratch(spark, "offsets"), trigger=timedelta(seconds=1))
+    total = rows.count()
+    query = run.to_batches(stateful.flushed(_inbox(rows), buffer, most, tick), commit.committer(out), options)
+
+    def all_left() -> bool:
+        try:
+            return commit.committed(spark, out).count() >= total
+        except ValueError:  # nothing has left yet
+            return False
+
+    _until(query, all_left)
+    return commit.committed(spark, out)
+
+
+@query("""
+    SELECT buffer, CAST(1 + (place - 1) // 1000 AS BIGINT) AS flush, count(*) AS size
+    FROM (SELECT event_id % 4 AS buffer, row_number() OVER (PARTITION BY event_id % 4) AS place FROM events) GROUP BY ALL
+""")
+def t7_buffer_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four buffers of events, flushed at 1000 rows or two seconds after the first row that is left."""
+    leaving = _buffered(table(spark, sf_dir, "events").select("event_id"), F.col("event_id") % 4, 1000, timedelta(seconds=2))
+    return leaving.groupBy("buffer", "flush").agg(F.count_distinct("event_id").alias("size"))
+
+
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'd:' || name AS column_key, value
+    FROM (UNPIVOT (SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
+                          CAST(c_acctbal AS VARCHAR) AS balance, c_mktsegment AS segment FROM customer)
+          ON name, nation, balance, segment INTO NAME name VALUE value)
+""")
+def k8_buffered_row_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a stream become cells and are written when a buffer has 1000 records or its tick has come."""
+    leaving = _buffered(table(spark, sf_dir, "customer"), F.col("c_custkey") % 4, 1000, timedelta(seconds=2))
+    records = leaving.drop("buffer", "flush", "batch_id")
+    return record_cells(records, "row_key", ["name", "nation", "balance", "segment"], family="d")
 
 
 @query(_ENRICHED)
@@ -271,6 +353,59 @@ def a7_running_total_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commit.committed(spark, out).agg(F.max_by("n", "batch_id").alias("n"))
 
 
+@query(f"""
+    SELECT *, CAST(sum(event_count) OVER (ORDER BY "timestamp") AS BIGINT) AS running_total
+    FROM (SELECT epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) AS "timestamp", count(*) AS event_count
+          FROM events WHERE {_closed("1 MINUTE")} GROUP BY ALL)
+""")
+def a7_running_total_per_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each closed tick with its count and the total so far, carried over three deliveries."""
+    out = scratch(spark, "totals")
+
+    def start(stream: DataFrame, options: StreamOptions):
+        ticks = aggregate.tick_counts(stream.withWatermark("ts", duration(MINUTE)), "ts", HOUR)
+        return measures.carry_totals(ticks, "timestamp", "event_count", out, options, span=3_600_000 * 1000)
+
+    parts = [_before("2024-01-11"), ~_before("2024-01-11") & _before("2024-01-21"), ~_before("2024-01-21")]
+    _deliver(utc(table(spark, sf_dir, "events").select("ts")), parts, start)
+    return measures.totals_so_far(spark, out, ["timestamp", "event_count", "running_total"])
+
+
+_DELIVERY = "CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END"
+
+
+@query(f"""
+    WITH batches AS (
+        SELECT {_DELIVERY} AS batch, count(*) AS received, count(*) FILTER (event_type = 'error') AS errors,
+               count(DISTINCT (date_trunc('hour', ts), event_type, user_id)) FILTER (event_type <> 'error') AS emitted
+        FROM events GROUP BY ALL)
+    SELECT CAST(batch AS VARCHAR) AS batch, received, emitted, errors FROM batches
+    UNION ALL
+    SELECT 'all', CAST(sum(received) AS BIGINT), CAST(sum(emitted) AS BIGINT), CAST(sum(errors) AS BIGINT) FROM batches
+""")
+def a17_throughput_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of three deliveries received, emitted as partial counts, and refused, and the sums, as the running stream reports it."""
+    out, reports, inbox = scratch(spark, "partials"), scratch(spark, "reports"), scratch(spark, "inbox")
+    options, events = _options(spark), utc(table(spark, sf_dir, "events").select("ts", "event_type", "user_id"))
+    is_error = F.col("event_type") == "error"
+
+    def start() -> StreamingQuery:
+        seen = measures.received(logs.file_stream(spark, inbox, events.schema), is_error).where(~is_error)
+        counts = aggregate.windowed_key_agg(seen.withWatermark("ts", duration(MINUTE)), "ts", HOUR, "event_type", "user_id")
+        return run.to_batches(measures.emitted(counts), commit.committer(out), options, mode="update")
+
+    for part in (_before("2024-01-11"), ~_before("2024-01-11") & _before("2024-01-21"), ~_before("2024-01-21")):
+        events.where(part).write.mode("append").parquet(inbox)
+        measures.measured_run(spark, start, reports)
+    batches = measures.stored_throughput(spark, reports)
+    # Batches that only close windows have no rows; those left are numbered from 0.
+    number = F.row_number().over(Window.partitionBy("query").orderBy("batch_id")) - 1
+    batches = batches.withColumn("batch_id", number)
+    names = ["received", "emitted", "errors"]
+    return batches.select(F.col("batch_id").cast("string").alias("batch"), *names).unionByName(
+        measures.overall_throughput(batches).select(F.lit("all").alias("batch"), *names))
+
+
 @query("""
     SELECT 'by type' AS consumer, event_type AS key, count(*) AS n FROM events GROUP BY ALL
     UNION ALL
@@ -338,6 +473,52 @@ def s3_binary_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.groupBy("partition").agg(F.sum("size").alias("bytes"))
 
 
+def _log_batches(spark: SparkSession, sf_dir: str, parts: Sequence[Column]) -> DataFrame:
+    """(batch_id, partition, first, last, records) of a log of events read 1234 records at a time; each part is a delivery and a restart."""
+    log, out = scratch(spark, "topic"), scratch(spark, "batches")
+    options = StreamOptions(scratch(spark, "offsets"), trigger=timedelta(milliseconds=10))
+    records = table(spark, sf_dir, "events").select(
+        (F.col("event_id") % 4).cast("int").alias("partition"), F.expr("event_id div 4").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"), F.col("props").cast("binary").alias("value"), "event_id")
+
+    def note(batch: DataFrame, batch_id: int) -> None:
+        commit.commit_once(
+            batch.groupBy("partition").agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.count(F.lit(1)).alias("records")), batch_id, out)
+
+    for part in parts:
+        write_log_files(records.where(part).drop("event_id"), log)
+        query = run.to_batches(logs.binary_log_source(spark, "log", log, LogOptions(starting="earliest")), note, options)
+        query.processAllAvailable()
+        query.stop()
+    return commit.committed(spark, out)
+
+
+@query("""
+    SELECT batch_id, CAST(count(*) AS BIGINT) AS records
+    FROM (SELECT CAST((row_number() OVER () - 1) // 1234 AS BIGINT) AS batch_id FROM events) GROUP BY ALL
+""")
+def s3_batches_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in micro-batches of 1234 records, whatever files they lie in."""
+    batches = _log_batches(spark, sf_dir, [F.lit(True)])
+    return batches.groupBy("batch_id").agg(F.sum("records").alias("records"))
+
+
+@query("""
+    WITH ends AS (SELECT event_id % 4 AS p, event_id // 4 AS o FROM events)
+    SELECT CAST(p AS INTEGER) AS "partition", min(o) AS begin_offset, max(o) + 1 AS end_offset, count(*) AS records, true AS gapless
+    FROM ends GROUP BY p
+""")
+def t8_records_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries to the log and a restart between them: what the micro-batches read of each partition, range by range."""
+    half = table(spark, sf_dir, "events").count() // 2
+    batches = _log_batches(spark, sf_dir, [F.col("event_id") < half, F.col("event_id") >= half])
+    before = F.lag("last").over(Window.partitionBy("partition").orderBy("batch_id"))
+    ranges = batches.withColumn("_gapless", F.coalesce(F.col("first") == before + 1, F.lit(True)))
+    return ranges.groupBy("partition").agg(
+        F.min("first").alias("begin_offset"), (F.max("last") + 1).alias("end_offset"), F.sum("records").alias("records"),
+        F.bool_and("_gapless").alias("gapless"))
+
+
 def _inbox(df: DataFrame) -> DataFrame:
     """A stream over files that hold the rows."""
     path = scratch(df.sparkSession, "inbox")
@@ -359,12 +540,12 @@ def _inbox(df: DataFrame) -> DataFrame:
 """)
 def plan_web_etl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads as a stream: the top users of each closed day and type end up in the stored table."""
-    path, options = scratch(spark, "cells"), AggregationOptions(window=DAY, top_n=3)
+    cells, options = web_etl.cell_table(scratch(spark, "cells"), _BUCKETS), AggregationOptions(window=DAY, top_n=3)
     for part in web_etl.stream_web_etl(
-        _inbox(web_log(spark, sf_dir)), "payload", options, path, scratch(spark, "bad"), _options(spark), ranked=True
+        _inbox(web_log(spark, sf_dir)), "payload", options, cells, scratch(spark, "bad"), _options(spark), ranked=True
     ):
         part.awaitTermination()
-    return merge.stored_cells(spark, path)
+    return cells.read(spark)
 
 
 @query(f"""

@@ -34,7 +34,7 @@ class LogOptions:
     """A partitioned event log.
 
     ``start_after`` is how far back to begin (None or zero: from ``starting``); ``partitions`` is the
-    wanted number of read tasks; ``max_per_trigger`` caps rows (log) or files (file log) per micro-batch.
+    wanted number of read tasks; ``max_per_trigger`` caps records (topic, partitioned log) or files (folder of files) per micro-batch.
     """
 
     servers: str = ""

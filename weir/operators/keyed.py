@@ -68,8 +68,13 @@ def wide_merge(base: DataFrame, new: DataFrame, mode: str = "overwrite") -> Data
 
 
 def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store cells sorted by row key, so that a key range reads few files and row groups."""
-    cells.repartitionByRange(*CELL).sortWithinPartitions(*CELL).write.mode(mode).parquet(path)
+    """Store cells sorted by row key, so that a key range reads few files and row groups.
+
+    Each row group has a Bloom filter of its row keys, where a dictionary does not tell as much, so that single keys
+    read only the groups that hold them.
+    """
+    writer = cells.repartitionByRange(*CELL).sortWithinPartitions(*CELL).write.mode(mode)
+    writer.option("parquet.bloom.filter.enabled#row_key", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
 
 
 def key_range_scan(cells: DataFrame, start: str, end: str, inclusive: bool = False) -> DataFrame:
@@ -80,8 +85,20 @@ def key_range_scan(cells: DataFrame, start: str, end: str, inclusive: bool = Fal
 
 
 def point_scan(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cells of a few given row keys; for many keys join them with ``lookup_rowkey``."""
-    return cells.where(F.col("row_key").isin(*keys))
+    """Cells of the given row keys; keys from a table are joined with ``lookup_rowkey``.
+
+    The scan gets an equality per key, which row groups answer by their statistics, dictionaries and Bloom filters; of a long
+    ``IN`` list it would only get the smallest and the largest key.
+    """
+    return cells.where(_any([F.col("row_key") == k for k in sorted(set(keys))]))
+
+
+def _any(conditions: list[Column]) -> Column:
+    """Their disjunction, halved again and again, so that thousands do not nest deeply."""
+    if len(conditions) < 2:
+        return conditions[0] if conditions else F.lit(False)
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
 
 
 def cells_to_map(cells: DataFrame, parts: int) -> DataFrame:
@@ -90,6 +107,6 @@ def cells_to_map(cells: DataFrame, parts: int) -> DataFrame:
     Every row is dealt alike. A map holds about a ``parts``-th of its row, so choose ``parts`` by the widest
     row expected; for rows of any width :func:`sum_cells`, a row per cell, is the answer.
     """
-    part = F.pmod(F.xxhash64("column_key"), F.lit(parts)).cast("int").alias("part")
+    part = (F.conv(F.substring(F.md5("column_key"), 1, 8), 16, 10).cast("long") % parts).cast("int").alias("part")
     entries = F.sort_array(F.collect_list(F.struct("column_key", "value")))
     return sum_cells(cells).groupBy("row_key", part).agg(F.map_from_entries(entries).alias("cells"))

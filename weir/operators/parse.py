@@ -23,13 +23,22 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
-def _objects(text: Column, schema: T.StructType, options: Mapping[str, str] | None = None) -> Column:
-    """The text as an array of JSON objects; read inside brackets, so that text after the object is an error too."""
-    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), dict(options or {}))
+_CORRUPT = "_corrupt"
 
 
-def _only(objects: str) -> Column:
-    return F.when(F.size(objects) == 1, F.col(objects)[0])
+def _object(text: Column, schema: T.StructType, options: Mapping[str, str] | None = None) -> Column:
+    """The JSON object that is the whole text, else NULL.
+
+    The parser stops at an object's end. Where a brace is followed by more than blanks, the text is read once more inside
+    brackets: then whatever stands after the object is an error or another object. Flat payloads are parsed once.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {**(options or {}), "columnNameOfCorruptRecord": _CORRUPT}
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), options)
+    alone = F.when(text.rlike(r"\}\s*[^\s]"), F.coalesce(F.size(listed) == 1, F.lit(False))).otherwise(F.lit(True))
+    whole = text.rlike(r"^\s*\{") & alone
+    # An array of one, so that what is parsed can be looked at before it is passed on.
+    return F.transform(F.array(F.from_json(text, marked, options)), lambda o: F.when(o[_CORRUPT].isNull() & whole, o))[0]
 
 
 def parse_json(
@@ -46,9 +55,8 @@ def parse_json(
     """
     rename = rename or {}
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    parsed = _objects(F.col("_text"), text, {"allowUnquotedFieldNames": "true"})
-    once = computed_once(df.withColumnRenamed(col, "_text"), "_objects", parsed)
-    typed = once.withColumn("_parsed", _only("_objects")).drop("_objects").withColumns({
+    parsed = _object(F.col("_text"), text, {"allowUnquotedFieldNames": "true"})
+    typed = computed_once(df.withColumnRenamed(col, "_text"), "_parsed", parsed).withColumns({
         rename.get(f.name, f.name): F.col(f"_parsed.`{f.name}`").try_cast(f.dataType) for f in schema
     })
     missing = F.col("_parsed").isNull()
@@ -97,11 +105,10 @@ def extract_paths(df: DataFrame, col: str, paths: Mapping[str, str], default: st
     clash = any(p != q and q.startswith(f"{p}.") for p in listed for q in listed)
     if clash or any("[" in path for path in listed):
         values = {out: F.get_json_object(F.col(col), f"$.{path}") for out, path in paths.items()}
-        found = computed_once(df, "_found", _objects(F.col(col), T.StructType([T.StructField(BAD, T.StringType())])))
-        bad = _only("_found").isNull()
+        found = computed_once(df, "_found", _object(F.col(col), T.StructType([T.StructField(BAD, T.StringType())])))
+        bad = F.col("_found").isNull()
     else:
-        found = computed_once(df, "_objects", _objects(F.col(col), _text_schema(listed)))
-        found = found.withColumn("_found", _only("_objects")).drop("_objects")
+        found = computed_once(df, "_found", _object(F.col(col), _text_schema(listed)))
         values = {out: F.col(f"_found.{path}") for out, path in paths.items()}
         bad = F.col("_found").isNull()
     values = {out: value if default is None else default_null_key(value, default) for out, value in values.items()}

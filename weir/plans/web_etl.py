@@ -12,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from weir.config import AggregationOptions, StreamOptions
 from weir.functions.times import duration, parse_timestamp
 from weir.operators.aggregate import windowed_key_agg
-from weir.operators.keyed import to_cells
+from weir.operators.keyed import CELL, to_cells
 from weir.operators.parse import BAD, computed_once, extract_paths, split_bad
 from weir.operators.rank import top_n
-from weir.streaming.merge import cells_once
+from weir.streaming.keyed_table import KeyedTable
 from weir.streaming.run import to_batches, to_files
 
 
@@ -48,23 +48,30 @@ def web_etl(raw: DataFrame, payload: str, options: AggregationOptions, ranked: b
     return to_cells(counts)
 
 
+def cell_table(path: str, buckets: int = 64) -> KeyedTable:
+    """The stored table of cells at ``path``."""
+    return KeyedTable(path, tuple(CELL), buckets)
+
+
 def stream_web_etl(
     sdf: DataFrame,
     payload: str,
     options: AggregationOptions,
-    path: str,
+    cells: KeyedTable,
     quarantine: str,
     stream: StreamOptions,
     ranked: bool = False,
     mode: str = "add",
     late: str = "drop",
 ) -> list[StreamingQuery]:
-    """Keep the cells of a stream of payloads in the stored table at ``path``, and bad payloads as files at ``quarantine``.
+    """Keep the cells of a stream of payloads in the stored table ``cells``, and bad payloads as files at ``quarantine``.
 
     ``drop``: a window is written once, ``options.emit_delay`` after the newest event has passed its end, with
     ``ranked`` only its top secondary keys. ``merge``: every micro-batch adds its counts, however old their
-    windows. Read with :func:`weir.streaming.merge.stored_cells`. Two queries, each with a checkpoint of its own.
+    windows. :func:`cell_table` makes the table. Two queries, each with a checkpoint of its own.
     """
+    if mode not in ("add", "overwrite"):
+        raise ValueError(f"mode must be add or overwrite, not {mode!r}")
     if late == "merge" and (ranked or mode != "add"):
         raise ValueError("late payloads can only be added to unranked cells")
     events = keyed_events(sdf, payload, options).select("ts", "pk", "sk", BAD)
@@ -73,10 +80,13 @@ def stream_web_etl(
     def ranked_cells(batch: DataFrame, batch_id: int) -> None:
         # A closed window is whole in one micro-batch, so it can be ranked there.
         counts = top_n(batch, ["agg_ts", "pk"], "value", "sk", options.top_n) if ranked else batch
-        cells_once(to_cells(counts), batch_id, path, mode)
+        if mode == "add":
+            cells.add(to_cells(counts), batch_id)
+        else:
+            cells.merge(to_cells(counts), batch_id)
 
     def added_cells(batch: DataFrame, batch_id: int) -> None:
-        cells_once(to_cells(windowed_key_agg(batch, "ts", options.window, "pk", "sk")), batch_id, path)
+        cells.add(to_cells(windowed_key_agg(batch, "ts", options.window, "pk", "sk")), batch_id)
 
     if late == "drop":
         timed = good.withWatermark("ts", duration(options.emit_delay))

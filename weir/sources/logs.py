@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from weir.config import LogOptions
 from weir.functions.times import in_utc
 from weir.operators.enrich import lookup_join
+from weir.sources.log_ranges import log_stream
 
 LOG_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),
@@ -56,7 +57,8 @@ def log_source(
 ) -> DataFrame:
     """Stream of (partition, offset, timestamp, value), the value as text or as bytes.
 
-    ``topic`` is the topic's name (``kind="kafka"``) or the folder holding the log (``kind="files"``).
+    ``topic`` is the topic's name (``kind="kafka"``), a folder of Parquet files that hold these columns, in any order
+    (``kind="files"``), or a folder per partition with offsets (``kind="log"``), which is read by records like a topic.
     """
     if payload not in ("string", "binary"):
         raise ValueError(f"payload must be string or binary, not {payload!r}")
@@ -66,8 +68,10 @@ def log_source(
         log = spark.readStream.format("kafka").options(**reader).load()
     elif kind == "files":
         log = file_stream(spark, topic, LOG_SCHEMA, options)
+    elif kind == "log":
+        log = log_stream(spark, topic, options.max_per_trigger, options.starting)
     else:
-        raise ValueError(f"kind must be kafka or files, not {kind!r}")
+        raise ValueError(f"kind must be kafka, files or log, not {kind!r}")
     value = F.col("value").cast("string") if payload == "string" else F.col("value")
     return log.select("partition", "offset", "timestamp", value.alias("value"))
 

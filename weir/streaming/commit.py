@@ -1,75 +1,41 @@
-"""Exactly-once results from replayed micro-batches (T5), and their compaction.
+"""Exactly-once results from replayed micro-batches (T5).
 
-Below a table's folder, ``rows`` holds a folder per attempt to write a batch and ``commits`` a small file per
-committed batch that names the attempt. The file appears in one step after the rows are complete, and readers
-take the rows of the named attempts only, so nobody sees half a batch. Batches are told apart by writer and
-batch id; the writer is the query's id, which lives in its checkpoint. A new checkpoint starts again at batch
-0 as a new writer and replaces nothing.
+The rows of a batch are the partition (writer, batch_id) of the table, written by Spark's dynamic partition
+overwrite: a replay replaces its own batch and nothing else. The writer is the streaming query's id, which
+lives in its checkpoint, so a new checkpoint, which counts from 0 again, is another writer. Jobs outside of a stream
+name theirs.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weir.streaming.run import BatchFn
 
-_WRITER = "sql.streaming.queryId"
-_COMMIT = T.StructType([
-    T.StructField("_writer", T.StringType()),
-    T.StructField("_batch", T.LongType()),
-    T.StructField("_attempt", T.StringType()),
-    T.StructField("_at", T.LongType()),
-])
+_QUERY = "sql.streaming.queryId"
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path and the path as it knows it."""
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+def writer_of(batch: DataFrame, writer: str | None) -> str:
+    """The writer given, or else the id of the streaming query that runs."""
+    found = writer or batch.sparkSession.sparkContext.getLocalProperty(_QUERY)
+    if not found:
+        raise ValueError("outside of a stream, name the writer")
+    return found
 
 
-def _published(spark: SparkSession, path: str) -> bool:
-    fs, there = _files(spark, path)
-    return fs.exists(there)
-
-
-def _publish(spark: SparkSession, path: str, content: dict) -> None:
-    """A small file that appears whole; the hidden name before is ignored by readers."""
-    fs, there = _files(spark, path)
-    _, hidden = _files(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
-    fs.mkdirs(there.getParent())
-    out = fs.create(hidden)
-    out.write(bytearray(json.dumps(content).encode()))
-    out.close()
-    if not fs.rename(hidden, there):
-        raise OSError(f"cannot publish {path}")
-
-
-def _writer(batch: DataFrame) -> str:
-    return batch.sparkSession.sparkContext.getLocalProperty(_WRITER) or "batch"
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write ``df`` over those partitions of the table that it has rows of."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def commit_once(batch: DataFrame, batch_id: int, path: str, writer: str | None = None) -> None:
-    """Store a batch's rows under its writer and id. A batch committed before is left as it is, so a replay adds nothing.
-
-    ``writer`` is the id of the running streaming query, or ``batch`` outside of one.
-    """
-    spark, writer = batch.sparkSession, writer or _writer(batch)
-    if batch_id <= _folded(spark, path).get(writer, -1):
-        return
-    commit = f"{path}/commits/{writer}-{batch_id}.json"
-    if _published(spark, commit):
-        return
-    attempt = f"a{uuid.uuid4().hex}"
-    batch.write.parquet(f"{path}/rows/_attempt={attempt}")
-    _publish(spark, commit, {"_writer": writer, "_batch": batch_id, "_attempt": attempt, "_at": time.time_ns()})
+    """Store a batch's rows under its writer and id, in place of what an earlier attempt at it may have left."""
+    named = batch.withColumns({"writer": F.lit(f"w-{writer_of(batch, writer)}"), "batch_id": F.lit(batch_id)})
+    overwrite_partitions(named, path, ["writer", "batch_id"])
 
 
 def committer(path: str) -> BatchFn:
@@ -79,91 +45,30 @@ def committer(path: str) -> BatchFn:
     return commit
 
 
-def _compactions(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the published compactions, the last one at the end."""
-    fs, there = _files(spark, f"{path}/compactions")
-    if not fs.exists(there):
-        return []
-    return sorted(f.getPath().toString() for f in fs.listStatus(there) if f.getPath().getName()[0] not in "._")
-
-
-def _last_compaction(spark: SparkSession, path: str) -> dict | None:
-    """What the last compaction published: its folder and the last batch of each writer."""
-    found = _compactions(spark, path)
-    return json.loads(spark.read.text(found[-1]).first()[0]) if found else None
-
-
-def _folded(spark: SparkSession, path: str) -> dict[str, int]:
-    """Last batch of each writer in the last compaction."""
-    last = _last_compaction(spark, path)
-    return {} if last is None else last["through"]
-
-
-def _read(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, int]]:
-    """Committed rows with ``batch_id`` and ``_at``, the time of the commit, and the last batch of each writer.
-
-    The commits are listed before the rows: whatever is listed as committed is complete by then. Only the
-    commits since the last compaction, a few values each, pass the driver.
-    """
-    last = _last_compaction(spark, path) or {"through": {}}
-    through = dict(last["through"])
-    commits = [c for c in spark.read.schema(_COMMIT).json(f"{path}/commits").collect() if c["_batch"] > through.get(c["_writer"], -1)]
-    for c in commits:
-        through[c["_writer"]] = max(c["_batch"], through.get(c["_writer"], -1))
-    rows = None
-    if commits:
-        folders = [f"{path}/rows/_attempt={c['_attempt']}" for c in commits]
-        about = spark.createDataFrame([(c["_attempt"], c["_batch"], c["_at"]) for c in commits], "_attempt string, batch_id long, _at long")
-        rows = spark.read.option("basePath", f"{path}/rows").parquet(*folders).join(about, "_attempt").drop("_attempt")
-    if "folder" in last:
-        folded = spark.read.parquet(last["folder"])
-        rows = folded if rows is None else folded.unionByName(rows, allowMissingColumns=True)
-    if rows is None:
-        raise ValueError(f"nothing is committed in {path}")
-    return rows, through
+def by_writer(spark: SparkSession, path: str) -> DataFrame:
+    """All committed rows with ``writer`` and ``batch_id``."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as e:
+        raise ValueError(f"nothing is committed in {path}") from e
+    # The mark keeps partition values text, whatever a writer's name looks like.
+    return rows.withColumns({"writer": F.substring("writer", 3, 2**31 - 1), "batch_id": F.col("batch_id").cast("long")})
 
 
 def committed(spark: SparkSession, path: str) -> DataFrame:
-    """All committed rows with their ``batch_id``; a compaction may have merged rows of several batches."""
-    return _read(spark, path)[0].drop("_at")
-
-
-def newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Of each key the row committed last, with the columns that tell so. NULL is a key like any other."""
-    values = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "_at").alias("_last")).select(*keys, "_last.*")
+    """All committed rows with their ``batch_id``."""
+    return by_writer(spark, path).drop("writer")
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The row committed last for each key; a batch holds one row per key."""
-    return newest(_read(spark, path)[0], keys).drop("_at", "batch_id")
+    """The row of the latest batch for each key; a batch holds one row per key. Batches of one writer have an order."""
+    rows = by_writer(spark, path)
+    if rows.select("writer").distinct().limit(2).count() > 1:
+        raise ValueError("batches of several writers have no order")
+    values = [c for c in rows.columns if c not in (*keys, "writer", "batch_id")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_last")).select(*keys, "_last.*")
 
 
 def latest_values(spark: SparkSession, path: str, key: str, value: str) -> DataFrame:
     """Last committed value of each key, for streams that commit changed keys only."""
     return latest(spark, path, [key]).select(key, value)
-
-
-def compact(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame]) -> None:
-    """Fold everything committed so far into one table, so that a read no longer opens a folder per micro-batch.
-
-    ``fold`` merges rows as the table's reader does: ``re_aggregate`` for partial aggregates, :func:`newest` by the
-    keys for changed ones. Batch ids stay known: a replay of a folded batch adds nothing, for a writer commits
-    its batches in their order and its last one stands for all before. One compaction runs at a time; streams
-    may go on committing. What has been folded is not read again, and :func:`remove_folded` deletes it.
-    """
-    number = len(_compactions(spark, path))
-    rows, through = _read(spark, path)
-    folder = f"{path}/folded/{uuid.uuid4().hex}"
-    fold(rows).write.parquet(folder)
-    _publish(spark, f"{path}/compactions/{number:012d}.json", {"folder": folder, "through": through})
-
-
-def remove_folded(spark: SparkSession, path: str) -> None:
-    """Delete the batches that the last compaction holds, once no reader from before it is at work."""
-    through = _folded(spark, path)
-    for c in spark.read.schema(_COMMIT).json(f"{path}/commits").collect():
-        if c["_batch"] <= through.get(c["_writer"], -1):
-            for gone in (f"{path}/commits/{c['_writer']}-{c['_batch']}.json", f"{path}/rows/_attempt={c['_attempt']}"):
-                fs, there = _files(spark, gone)
-                fs.delete(there, True)

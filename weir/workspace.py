@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,4 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path for one intermediate table."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_runs[-1] if _runs else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+#: Folders of the runs that are open, the innermost last.
+_runs: list[str] = []
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """What is stored inside the ``with`` block lies below one folder, which is deleted at its end.
+
+    Write a query's result inside the block; afterwards its intermediate tables are gone.
+    """
+    folder = scratch(spark, "run")
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+        there = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
