@@ -62,18 +62,27 @@ def _with(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+#: Places in a text are written with as many digits as this has.
+_FIRST = 1_000_000_000
+
+
 def _repeated(words: Column) -> Column:
-    """How many of the words lie in windows of three that occur twice or more."""
+    """How many of the words lie in windows of three that occur twice or more.
+
+    If the windows' hashes are all different, none does. Else the windows are sorted as text, each with its place: words hold no
+    blanks, so equal windows stand side by side.
+    """
+    starts = F.sequence(F.lit(0), F.size(words) - 3)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
     windows = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.struct(F.struct(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("window"), i.alias("place")))
+        starts, lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2), (i + F.lit(_FIRST)).cast("string")))
 
     def repeats(ordered: Column) -> Column:
         def same(x: Column, k: Column) -> Column:
-            return F.coalesce(F.get(ordered, k)["window"] == x["window"], F.lit(False))
+            return F.coalesce(F.substring_index(F.get(ordered, k), " ", 3) == F.substring_index(x, " ", 3), F.lit(False))
 
-        return F.sort_array(F.transform(
-            F.filter(ordered, lambda x, k: F.when(k > 0, same(x, k - 1)).otherwise(F.lit(False)) | same(x, k + 1)), lambda x: x["place"]))
+        found = F.filter(ordered, lambda x, k: F.when(k > 0, same(x, k - 1)).otherwise(F.lit(False)) | same(x, k + 1))
+        return F.sort_array(F.transform(found, lambda x: F.substring_index(x, " ", -1).cast("int") - _FIRST))
 
     # A window three places or more after the one before adds three words, else as many as it lies after it.
     def covered(places: Column) -> Column:
@@ -82,7 +91,8 @@ def _repeated(words: Column) -> Column:
             places, none, lambda a, p: F.struct((a["words"] + F.least(F.lit(3), p - a["last"])).alias("words"), p.alias("last")), lambda a: a["words"])
 
     found = _with(F.sort_array(windows), lambda ordered: _with(repeats(ordered), covered))
-    return F.when(F.size(words) >= 3, found).otherwise(F.lit(0).cast("long"))
+    some = (F.size(words) >= 3) & (F.size(F.array_distinct(hashes)) < F.size(words) - 2)
+    return F.when(some, found).otherwise(F.lit(0).cast("long"))
 
 
 def _measures(text: Column) -> Column:
@@ -93,7 +103,6 @@ def _measures(text: Column) -> Column:
             F.length(F.array_join(words, "")).alias("word_chars"),
             _repeated(words).alias("n_repeat_words"),
             F.size(F.filter(words, lambda w: F.lower(w).isin(FUNCTION_WORDS))).alias("n_function_words"),
-            F.size(F.filter(words, lambda w: F.right(w, F.lit(1)).isin(".", "!", "?"))).alias("n_ends"),
             F.size(F.array_distinct(words)).alias("n_distinct_words"),
         ]
 
@@ -109,6 +118,7 @@ def _measures(text: Column) -> Column:
         _with(words, lambda w: F.struct(*of_words(w))).alias("of_words"),
         _with(lines, lambda x: F.struct(*of_lines(x))).alias("of_lines"),
         number_of(SYMBOLS).alias("n_symbols"), number_of("A-Z").alias("n_capitals"), number_of("0-9").alias("n_digits"),
+        F.regexp_count(text, F.lit(f"[.!?](?=[{BLANKS}]|\\z)")).alias("n_ends"),
     )
 
 
@@ -121,7 +131,7 @@ MEASURES = (
 def measured(docs: DataFrame, rules: Sequence[Rule] = RULES, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, measures as longs, votes: 1, -1 or 0 per rule), a row per document, each text read where it lies."""
     held = docs.select(F.col(id).alias("id"), _measures(F.coalesce(F.col(text), F.lit(""))).alias("_m"))
-    places = {"n_lines": "of_lines", "n_dup_lines": "of_lines", "n_symbols": None, "n_capitals": None, "n_digits": None}
+    places = {"n_lines": "of_lines", "n_dup_lines": "of_lines", "n_symbols": None, "n_capitals": None, "n_digits": None, "n_ends": None}
     fields = [F.col(".".join(filter(None, ["_m", places.get(m, "of_words"), m]))).cast("long").alias(m) for m in MEASURES]
     votes = [
         F.expr(f"CASE WHEN n_words = 0 THEN 0 WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END").cast("tinyint")
