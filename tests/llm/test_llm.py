@@ -22,7 +22,7 @@ from weir.llm.components import components
 from weir.llm.near_documents import near_documents, needed_matches
 from weir.llm.near_vectors import near_vectors
 from weir.llm.queries import ORACLE_SQL, QUERIES
-from weir.llm.vector_search import cover_tree, top_k
+from weir.llm.vector_search import cover_tree, dual_tree_search, exact_scores, top_k
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -250,6 +250,82 @@ def test_cover_tree_radii_cover():
     assert len(levels[-1].center) == len(points)
 
 
+def test_leaves_hold_few_points_or_far_ones():
+    random = np.random.default_rng(4)
+    near = np.concatenate([10 * random.standard_normal((1, 6)) + 0.1 * random.standard_normal((100, 6)) for _ in range(5)])
+    levels = cover_tree(near, leaf=16)
+    for level in levels:
+        away = np.linalg.norm(near - near[level.center[level.node_of]], axis=1)
+        assert (away <= level.radius[level.node_of] + 1e-9).all()
+    assert len(levels) > 2 and len(levels[-1].center) < len(near)
+    assert len(cover_tree(np.eye(200), leaf=16)[-1].center) == 1
+    assert len(cover_tree(np.ones((200, 3)), leaf=16)[-1].center) <= 2
+
+
+def clusters(seed, n):
+    random = np.random.default_rng(seed)
+    centers = random.standard_normal((30, 32))
+    centers /= np.linalg.norm(centers, axis=1, keepdims=True)
+    return np.float32(centers[random.integers(0, 30, n)] + 0.02 * random.standard_normal((n, 32)))
+
+
+def test_search_computes_few_products_in_clusters():
+    """Node pairs that cannot hold a good enough point are dropped before their products are computed."""
+    c = np.floor(256 * clusters(5, 3000).astype(float))
+    q, of, own = c[::6], np.arange(3000), np.arange(0, 3000, 6)
+    best = dual_tree_search(q, c, of, own, 5)
+    scores = exact_scores(q, c)
+    scores[np.arange(len(q)), own] = np.iinfo(np.int64).min + 1
+    order = np.lexsort((np.broadcast_to(of, scores.shape), -scores), axis=1)[:, :5]
+    assert (best.place == order).all()
+    assert best.products < 0.2 * len(q) * len(c)
+    with_floor = dual_tree_search(q, c, of, own, 5, floor=best.score[:, -1].astype(float))
+    assert (with_floor.place == order).all() and with_floor.products < best.products
+
+
+def test_blocks_are_pruned_before_the_shuffle(spark, monkeypatch):
+    """Not every block of queries meets every candidate, and the result is that of brute force."""
+    met = []
+    repartition = type(spark.range(0)).repartition
+
+    def noted(df, *a):
+        if a == ("_group",):
+            blocks = df.where("asks").select(F.substring_index("_group", "/", 3)).distinct().count()
+            met.append((df.where("NOT asks").count(), blocks))
+        return repartition(df, *a)
+
+    monkeypatch.setattr(type(spark.range(0)), "repartition", noted)
+    points = clusters(6, 1500)
+    rows = [(i, [float(x) for x in p], 0) for i, p in enumerate(points)]
+    got = {}
+    for r in top_k(vectors(spark, rows), F.col("id") % 5 == 0, query_block=30, candidate_block=60).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.id, r.score))
+    whole = np.floor(256 * points.astype(float)).astype(int)
+    for q in range(0, 1500, 5):
+        scores = whole @ whole[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    copies, blocks = met[-1]
+    assert copies < 0.7 * 1500 * blocks
+
+
+def test_scores_are_exact_at_any_size(spark):
+    """Products beyond 2^53, a component far beyond the others, and a score that fits no long."""
+    big = 134217729.0
+    rows = [(0, [big, 1.0], 0), (50, [3e9, 1.0], 0), (1, [big, 0.0], 0), (2, [big, 1.0], 0), (3, [1.0, 1e30], 0), (4, [0.0, 2.0], 0)]
+    df = spark.createDataFrame([(i, v, y) for i, v, y in rows], "vec_id long, embedding array<double>, label int")
+    got = {(r.query_id, r.id): r.score for r in top_k(df.where("vec_id IN (0, 1, 2, 4)"), F.col("id") == 0, scale=1).collect()}
+    assert got == {(0, 1): 134217729 ** 2, (0, 2): 134217729 ** 2 + 1, (0, 4): 2}
+    fits = top_k(df.where("vec_id IN (1, 2, 3, 4, 50)"), F.col("id") == 50, k=3, scale=1)
+    with pytest.raises(Exception, match="does not fit"):
+        fits.collect()
+    rows = [(0, [1.0, 0.0], 0), (1, [5.0, 1e30], 0), (2, [7.0, -3e38], 0), (3, [1.0, 1.0], 0)]
+    df = vectors(spark, rows)
+    assert {(r.id, r.score) for r in top_k(df, F.col("id") == 0).collect()} == {(1, 5 * 65536), (2, 7 * 65536), (3, 65536)}
+    a, b = np.array([[2.0 ** 31, 1.0]]), np.array([[2.0 ** 31, 3.0], [2.0 ** 40, 0.0], [-(2.0 ** 40), 1.0]])
+    assert exact_scores(a, b).tolist() == [[2 ** 62 + 3, 2 ** 63 - 2, -(2 ** 63 - 2)]]
+
+
 # 5 and 8
 
 CLEAN = ["the river runs by the old mill.", "A quiet day in the long valley!", "Was it you who sang there?", "They walk home\nafter work."]
