@@ -358,6 +358,95 @@ def test_toxicity_finds_documents_and_sentences(spark):
     assert toxicity.judge(["anything"], none)[0][0] < 1e-9
 
 
+def plain_toxicity(text, model):
+    """Sentence by sentence and word by word, in Python."""
+    from weir.llm.spans import SpanHash
+
+    weights = np.frombuffer(model.weights, np.float32)
+    clean, found = 1.0, []
+    for sentence in re.split(rb"[.!?\n]", text.lower().encode()):
+        words = re.findall(rb"[a-z0-9\x80-\xff]+", sentence)
+        if not words:
+            continue
+        z = model.bias
+        for word in words:
+            for part in [word, *(word[:n] for n in (3, 4, 5, 6, 8) if len(word) > n)]:
+                code = int(SpanHash(np.frombuffer(part, np.uint8)).codes(np.array([0]), np.array([len(part)]))[0])
+                z += float(weights[code >> (64 - toxicity.BITS)])
+        p = 1 / (1 + math.exp(-z))
+        found.append(p)
+        clean *= 1 - p if p >= toxicity.FAINT else 1
+    return 1 - clean, found
+
+
+def test_toxicity_equals_plain_loops(spark):
+    docs, labels, rows = labelled(spark)
+    model = toxicity.fit(docs, labels, F.col("_id") < 300, label="label")
+    texts = [t for _, t, _ in rows[:40]] + ["", "...", "Élan vital!! You\nvilegrub? no", "é" * 3000]
+    scores, spans = toxicity.judge(texts, model, offending=0.5)
+    for text, score, offending in zip(texts, scores, spans):
+        expected, each = plain_toxicity(text, model)
+        assert math.isclose(score, expected, rel_tol=1e-6, abs_tol=1e-6)
+        assert len(offending) == sum(p >= 0.5 for p in each)
+
+
+def test_toxicity_does_not_grow_with_length(spark):
+    """A thousand clean texts in one are clean; one toxic sentence among them is found."""
+    docs, labels, _ = labelled(spark)
+    model = toxicity.fit(docs, labels, label="label")
+    random = np.random.default_rng(8)
+    joined = "\n".join(" ".join(random.choice(CLEAN, 6)) for _ in range(1000))
+    scores, spans = toxicity.judge([joined, joined + " You are a vilegrub and no more.", joined], model, offending=0.5)
+    assert scores[0] == scores[2] < 0.1 and scores[1] >= 0.5 and len(spans[1]) == 1
+
+
+def test_toxicity_gradient_is_that_of_the_loss():
+    random = np.random.default_rng(6)
+    texts = [" ".join(random.choice(CLEAN, 4)) + (" such scum." if i % 3 == 0 else "") for i in range(40)]
+    labels = np.array([int(i % 3 == 0) for i in range(40)])
+    sample, used, values = toxicity._sample(texts, labels, np.ones(40), 2)
+    values = values + 0.1 * random.standard_normal(len(values))
+    _, gradient = sample.loss(values, 0.01)
+    for j in [*random.integers(0, len(used), 25).tolist(), len(used)]:
+        step = np.zeros_like(values)
+        step[j] = 1e-5
+        slope = (sample.loss(values + step, 0.01)[0] - sample.loss(values - step, 0.01)[0]) / 2e-5
+        assert math.isclose(slope, gradient[j], rel_tol=1e-4, abs_tol=1e-8)
+
+
+def test_repeated_rows_are_scored_alike(spark):
+    docs, labels, rows = labelled(spark)
+    model = toxicity.fit(docs, labels, label="label")
+    twice = documents(spark, [(i, t) for i, t, _ in rows[:5]] * 2)
+    got = sorted((r.row.doc_id, r.score) for r in toxicity.score_documents(twice, model).collect())
+    assert len(got) == 10 and got[::2] == got[1::2]
+
+
+def plain_quality(text, model):
+    """Position by position: filters over overlapping windows, the largest response of each chunk, then the two layers."""
+    filters = np.frombuffer(model.filters, np.float32).astype(float).reshape(quality.WIDTH, 256, quality.FILTERS)
+    bias, weights, shift, out, last = (x.astype(float) for x in quality._unpacked(np.frombuffer(model.dense, np.float32)))
+    body = text.encode()
+    chunks = []
+    for at in range(0, max(1, len(body)), quality.CHUNK):
+        best = np.full(quality.FILTERS, -np.inf)
+        for position in range(at, at + quality.CHUNK):
+            window = [body[position + i] if position + i < len(body) else 0 for i in range(quality.WIDTH)]
+            best = np.maximum(best, sum(filters[i][b] for i, b in enumerate(window)))
+        chunks.append(np.tanh(best + bias))
+    described = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)])
+    z = float((np.tanh(described @ weights + shift) @ out + last).item())
+    return 1 / (1 + math.exp(-z))
+
+
+def test_quality_equals_plain_loops(spark):
+    docs, labels, rows = labelled(spark, quality_too=True)
+    model = quality.fit(docs, labels, label="label")
+    texts = [rows[0][1], rows[1][1], "", "é", "x" * (2 * quality.CHUNK + 3), "a" * quality.CHUNK]
+    for text, score in zip(texts, quality.probabilities(texts, model)):
+        assert math.isclose(score, plain_quality(text, model), rel_tol=1e-3, abs_tol=1e-5)
+
+
 def test_quality_separates_junk(spark):
     docs, labels, rows = labelled(spark, quality_too=True)
     model = quality.fit(docs, labels, F.col("_id") < 300, label="label")

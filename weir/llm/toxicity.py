@@ -4,6 +4,9 @@ A sentence's probability is the logistic function of the summed weights of its w
 and beginnings). A document is toxic unless none of its sentences is: its probability is their noisy-or. The
 gradient of the document's likelihood goes through the noisy-or to the sentences, so training finds the
 offending ones without ever having been told which they are.
+
+A sentence that is faintly suspect, as any is, says nothing: only those from ``FAINT`` on count in a document's score, so that
+it does not grow with the number of clean sentences.
 """
 
 from __future__ import annotations
@@ -27,6 +30,11 @@ _BEGINNINGS = (3, 4, 5, 6, 8)
 #: Bytes of text handled together, a longer text on its own.
 _TOGETHER = 1 << 19
 
+#: Probability from which on a sentence counts.
+FAINT = 0.1
+#: Documents from which on a feature learns at the full rate; rarer ones learn in proportion. Log-odds that are a start.
+_COMMON, _CLEAR = 100, 3.0
+
 _ENDS = np.isin(np.arange(256), list(b".!?\n"))
 _WORD = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 
@@ -99,10 +107,11 @@ def judge(texts: list[str | None], model: ToxicityModel, offending: float | None
     for numbers, bodies in _together(texts):
         s = sentences(bodies)
         z = np.bincount(s.sentence[s.word], weights[s.features], len(s.text)) + model.bias
-        total = np.bincount(s.text, np.logaddexp(0, z), len(bodies))
+        likely = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        total = np.bincount(s.text, np.where(likely >= FAINT, np.logaddexp(0, z), 0.0), len(bodies))
         scores[numbers] = -np.expm1(-total)
         if offending is not None:
-            for i in np.flatnonzero(1 / (1 + np.exp(-np.clip(z, -500, 500))) >= offending).tolist():
+            for i in np.flatnonzero(likely >= offending).tolist():
                 body = bodies[s.text[i]]
                 at = len(body[:s.start[i]].decode("utf-8", "replace"))
                 size = len(body[s.start[i]:s.stop[i]].decode("utf-8", "replace"))
@@ -110,11 +119,62 @@ def judge(texts: list[str | None], model: ToxicityModel, offending: float | None
     return scores, spans
 
 
+@dataclass
+class _Sample:
+    """What training sees: words with their features, sentences with their words, documents with their sentences.
+
+    ``word_of`` and ``feature_of`` are the pairs of a word and a feature of it, ``token`` and ``sentence_of`` those of a word and a
+    sentence it occurs in; ``scale`` is what a feature's value counts.
+    """
+
+    word_of: np.ndarray
+    feature_of: np.ndarray
+    token: np.ndarray
+    sentence_of: np.ndarray
+    document_of: np.ndarray
+    labels: np.ndarray
+    importance: np.ndarray
+    scale: np.ndarray
+    n_words: int
+
+    def loss(self, values: np.ndarray, decay: float) -> tuple[float, np.ndarray]:
+        """Negative log-likelihood of the documents' labels under the noisy-or, and its gradient; the last value is the bias."""
+        words = np.bincount(self.word_of, (values[:-1] * self.scale)[self.feature_of], self.n_words)
+        z = np.bincount(self.sentence_of, words[self.token], len(self.document_of)) + values[-1]
+        total = np.bincount(self.document_of, np.logaddexp(0, z), len(self.labels))
+        total = np.clip(total, 1e-9, 500)
+        # d/dz of -log P is -(1 - P) / P times the sentence's own probability; of -log(1 - P), that probability.
+        pull = np.where(self.labels == 1, -1 / np.expm1(total), 1.0) * self.importance
+        g = pull[self.document_of] / (1 + np.exp(-np.clip(z, -500, 500)))
+        by_word = np.bincount(self.token, g[self.sentence_of], self.n_words)
+        by_feature = self.scale * np.bincount(self.feature_of, by_word[self.word_of], len(self.scale))
+        gradient = np.concatenate([by_feature + decay * values[:-1], [g.sum()]])
+        each = np.where(self.labels == 1, -np.log(-np.expm1(-total)), total)
+        return float((each * self.importance).sum() + decay * (values[:-1] ** 2).sum() / 2), gradient
+
+
 def train(
     texts: list[str], labels: np.ndarray, importance: np.ndarray,
-    epochs: int = 80, rate: float = 0.08, decay: float = 1e-4, least_documents: int = 10,
+    epochs: int = 40, rate: float = 0.05, decay: float = 1e-4, least_documents: int = 5,
 ) -> ToxicityModel:
-    """Fit the weights by Adam on the whole sample's negative log-likelihood under the noisy-or."""
+    """Fit the weights by Adam on the whole sample's negative log-likelihood under the noisy-or.
+
+    Features begin with the log-odds of their documents' labels where these are clear, else at zero.
+    """
+    sample, used, values = _sample(texts, labels, importance, least_documents)
+    first, second = np.zeros_like(values), np.zeros_like(values)
+    for step in range(1, epochs + 1):
+        _, gradient = sample.loss(values, decay)
+        first = 0.9 * first + 0.1 * gradient
+        second = 0.999 * second + 0.001 * gradient ** 2
+        values -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
+    weights = np.zeros(2 ** BITS, np.float32)
+    weights[used] = values[:-1] * sample.scale
+    return ToxicityModel(weights.tobytes(), float(values[-1]))
+
+
+def _sample(texts: list[str], labels: np.ndarray, importance: np.ndarray, least_documents: int) -> tuple[_Sample, np.ndarray, np.ndarray]:
+    """The sample, the features it uses, and the values to begin with."""
     codes, tokens, document_of, pairs_code, pairs_feature, n_sentences = [], [], [], [], [], 0
     for numbers, bodies in _together(texts):
         s = sentences(bodies)
@@ -130,31 +190,25 @@ def train(
     known, token = np.unique(np.concatenate(codes), return_inverse=True)
     pair = np.unique((np.searchsorted(known, np.concatenate(pairs_code)) << BITS) + np.concatenate(pairs_feature))
     word_of, flat = pair >> BITS, pair & (2 ** BITS - 1)
-    n_words, n_docs = len(known), len(texts)
+    n_words, n_docs = max(1, len(known)), len(texts)
     # Features of few documents say more about these than about toxicity.
-    in_documents = np.bincount(np.unique(document_of[sentence_of] * n_words + token) % max(1, n_words), minlength=n_words)
-    frequent = np.bincount(flat, in_documents[word_of], 2 ** BITS)[flat] >= least_documents
-    used, flat = np.unique(flat[frequent], return_inverse=True)
+    pairs_seen = np.unique(document_of[sentence_of] * n_words + token)
+    seen_in, seen = pairs_seen // max(1, n_words), pairs_seen % max(1, n_words)
+    in_documents = np.bincount(seen, minlength=n_words)
+    known_in = np.bincount(flat, in_documents[word_of], 2 ** BITS)
+    frequent = known_in[flat] >= least_documents
+    used, feature_of = np.unique(flat[frequent], return_inverse=True)
     word_of = word_of[frequent]
-    values = np.concatenate([np.zeros(len(used)), [-5.0]])
-    first, second = np.zeros_like(values), np.zeros_like(values)
     importance = importance / importance.sum()
-    for step in range(1, epochs + 1):
-        words = np.bincount(word_of, values[:-1][flat], n_words)
-        z = np.bincount(sentence_of, words[token], n_sentences) + values[-1]
-        total = np.bincount(document_of, np.logaddexp(0, z), n_docs)
-        # d/dz of -log P is -(1 - P) / P times the sentence's own probability; of -log(1 - P), that probability.
-        pull = np.where(labels == 1, -1 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) * importance
-        g = pull[document_of] / (1 + np.exp(-np.clip(z, -500, 500)))
-        by_word = np.bincount(token, g[sentence_of], n_words)
-        gradient = np.concatenate([np.bincount(flat, by_word[word_of], len(used)), [g.sum()]])
-        gradient[:-1] += decay * values[:-1]
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient ** 2
-        values -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    weights = np.zeros(2 ** BITS, np.float32)
-    weights[used] = values[:-1]
-    return ToxicityModel(weights.tobytes(), float(values[-1]))
+    weight = importance[seen_in]
+    toxic = np.bincount(seen, weight * (labels[seen_in] == 1), n_words)
+    share, every = (importance * (labels == 1)).sum(), np.bincount(seen, weight, n_words)
+    of_toxic, of_all = (np.bincount(feature_of, x[word_of], len(used)) for x in (toxic, every))
+    one = 1 / n_docs
+    odds = np.log((of_toxic + one * share) / (np.maximum(of_all - of_toxic, 0) + one * (1 - share)) * (1 - share) / share)
+    sample = _Sample(
+        word_of, feature_of, token, sentence_of, document_of, labels, importance, np.minimum(1, known_in[used] / _COMMON), n_words)
+    return sample, used, np.concatenate([np.where(odds > _CLEAR, odds, 0.0), [-5.0]])
 
 
 def fit(
