@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: five stages, each a table of its own."""
+"""From raw documents to packed training sequences: five stages, each a table of its own.
+
+Every stage reads whole texts and treats a null one as empty; it neither needs nor changes columns besides ``doc_id``,
+``text`` and ``n_chars``, whatever their names, and all but the last return the columns they were given. Rows that repeat a
+document, id and text, are judged alike and leave the near-copy stage once; rows with a null id are documents like any others. An empty table
+stays empty.
+"""
 
 from __future__ import annotations
 
@@ -11,16 +17,27 @@ from weir.llm.common import held_out, stored
 from weir.llm.near_documents import near_documents
 
 
+def both_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``labels``, if it has both classes: with one of them a classifier would keep everything or nothing."""
+    if labels.where(F.col(label).isin(0, 1)).select(label).distinct().count() < 2:
+        raise ValueError(f"documents labelled {label} 0 and 1 are needed")
+    return labels
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality is judged 0.5 or better."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    """Documents whose quality is judged 0.5 or better. Raises if ``labels`` does not have both classes."""
+    labels = both_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
+    if docs.isEmpty():
+        return docs
     model = quality.fit(docs, labels, ~held_out(F.col("_id"), 4, 2))
     return quality.score_documents(docs, model).where("score >= 0.5").select("row.*")
 
 
 def harmless_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is judged below 0.5."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    """Documents whose toxicity is judged below 0.5. Raises if ``labels`` does not have both classes."""
+    labels = both_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"), "toxic")
+    if docs.isEmpty():
+        return docs
     model = toxicity.fit(docs, labels, ~held_out(F.col("_id"), 5, 0))
     return toxicity.score_documents(docs, model, spans=False).where("score < 0.5").select("row.*")
 
@@ -34,7 +51,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
 
-    It is the one with the smallest id. Rows that repeat id and text are one document.
+    It is the one with the smallest id. Rows that repeat id and text are one document. At this similarity of five-word shingles a
+    pair stays linked up to about one changed word in 45; copies that differ by more are other documents here.
     """
     found = near_documents(docs)
     staying = found.where("stays").select(F.struct("id", "text_hash").alias("_key")).distinct()
@@ -43,9 +61,9 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of 4096 tokens."""
+    """The pieces of the documents in sequences of 4096 tokens, with their ids and places; ``packing.sequences`` joins them."""
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.drop("ids").withColumnRenamed("id", "doc_id")
+    return pieces.withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
