@@ -683,12 +683,42 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     at, seen = 0, dict.fromkeys(expected, 0)
     for p in pieces:
         assert (p.sequence_id, p.offset) == divmod(at, 4096) and p.start == seen[p.doc_id] and p.doc_tokens == len(expected[p.doc_id])
-        assert p.ids_crc32 == zlib.crc32(np.array(expected[p.doc_id][p.start:p.start + p.length], "<u4").tobytes())
+        assert bytes(p.ids) == np.array(expected[p.doc_id][p.start:p.start + p.length], "<u4").tobytes()
+        assert p.ids_crc32 == zlib.crc32(p.ids)
         seen[p.doc_id] += p.length
         at += p.length
     assert seen == {i: len(x) for i, x in expected.items()}
 
 
+def test_pipeline_stages_take_odd_documents(spark, tmp_path):
+    """Nulls in every column, repeated rows, a very long text and columns whose names the stages use themselves; no documents at all."""
+    random = np.random.default_rng(12)
+    rows = [(i, " ".join(random.choice(CLEAN, 12)).replace(" ", "### " if i % 4 == 1 else " ") + (" You vilegrub!" if i % 5 == 2 else "")) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 1), int(i % 5 == 2)) for i in range(120)] + [(None, 1, None), (5, None, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    odd = [(500, None), (501, ""), (None, CLEAN[0] * 9), (502, LONG), rows[0], rows[0]]
+    names = "score double, row string, ids binary, text_hash long, stays boolean, _id long"
+    docs = spark.createDataFrame([(i, t, None, None, None, 0.5, None, b"x", None, True, 3) for i, t in rows + odd],
+                                 f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        kept, none = stage(spark, docs, str(tmp_path)), stage(spark, empty, str(tmp_path))
+        assert none.count() == 0
+        if name != "packing":
+            assert kept.columns == none.columns == docs.columns
+            kept = spark.createDataFrame(kept.collect(), docs.schema)
+            assert 0 < kept.count() <= docs.count()
+            docs = kept
+    assert {r.doc_id for r in docs.where("doc_id > 499 OR doc_id IS NULL").collect()} <= {None, 500, 501, 502}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert pieces.agg(F.sum("length")).first()[0] == pieces.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+    one_class = f"{tmp_path}/one"
+    labels.where("quality = 1 AND toxic = 0").write.parquet(f"{one_class}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        with pytest.raises(ValueError, match="needed"):
+            stage(spark, docs, one_class)
+
+
 def test_no_python_in_line_dedup(spark, sf_dir):
     plan = QUERIES["op3_line_dedup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
