@@ -142,6 +142,44 @@ def t5_idempotent_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commit.committed(spark, out).groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
 
 
+@query("""
+    SELECT writer, batch_id, count(*) AS cnt
+    FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'stream 1' WHEN ts < TIMESTAMP '2024-01-21' THEN 'stream 2'
+                      WHEN event_type = 'error' THEN 'errors' ELSE 'others' END AS writer,
+                 CAST(CASE WHEN ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END AS BIGINT) AS batch_id
+          FROM events)
+    GROUP BY ALL
+""")
+def t5_commits_of_several_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream over two deliveries and a restart, one with a new checkpoint, and two jobs outside of a stream, each committed twice.
+
+    All count from batch 0, and none replaces another's rows.
+    """
+    out = scratch(spark, "commits")
+    events = utc(table(spark, sf_dir, "events").select("ts", "event_type"))
+    by_query = {}
+
+    def commit_twice(batch: DataFrame, batch_id: int) -> None:
+        writer = commit.writer_of(batch, None)
+        by_query.setdefault(writer, f"stream {len(by_query) + 1}")
+        for _ in range(2):
+            commit.commit_once(aggregate.batch_counts(batch, "event_type"), batch_id, out)
+
+    def start(stream: DataFrame, options: StreamOptions) -> StreamingQuery:
+        return run.to_batches(stream, commit_twice, options)
+
+    _deliver(events, [_before("2024-01-11"), ~_before("2024-01-11") & _before("2024-01-16")], start)
+    _deliver(events, [~_before("2024-01-16") & _before("2024-01-21")], start)
+    rest, is_error = events.where(~_before("2024-01-21")), F.col("event_type") == "error"
+    for _ in range(2):
+        commit.commit_once(aggregate.batch_counts(rest.where(is_error), "event_type"), 0, out, "errors")
+        commit.commit_once(aggregate.batch_counts(rest.where(~is_error), "event_type"), 0, out, "others")
+    name = F.col("writer")
+    for query_id, stream in by_query.items():
+        name = F.when(F.col("writer") == query_id, stream).otherwise(name)
+    return commit.by_writer(spark, out).groupBy(name.alias("writer"), "batch_id").agg(F.sum("cnt").alias("cnt"))
+
+
 def _three_parts(spark: SparkSession, sf_dir: str, options: LogOptions) -> DataFrame:
     """Events as a stream over a folder written in three parts."""
     inbox = scratch(spark, "inbox")
