@@ -81,6 +81,16 @@ def labelled_sample(
     return sample, {y: n for y, n in counts.items() if any(r.y == y for r in rows)}
 
 
+def slices(batch: pa.RecordBatch, text: str, together: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``together`` bytes of text, a longer text on its own."""
+    sizes = pc.binary_length(batch.column(text)).to_numpy()
+    parts = (np.cumsum(sizes) - sizes) // together
+    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
 def grouped_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The runs of rows with an equal ``key``, from batches of rows sorted by it; a run may span batches."""
     held: pa.Table | None = None

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm import transducer
-from weir.llm.common import ascii_lower, grouped_runs, in_groups, stored
+from weir.llm.common import ascii_lower, grouped_runs, in_groups, slices, stored
 from weir.llm.warc import open_folder
 from weir.workspace import scratch
 
@@ -157,23 +157,13 @@ def vocabulary(folder: str) -> Vocabulary:
     return Vocabulary(folder)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``TOGETHER`` bytes of text, a longer text on its own."""
-    sizes = pa.compute.binary_length(batch.column("text")).to_numpy()
-    parts = (np.cumsum(sizes) - sizes) // TOGETHER
-    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
-    for start, stop in zip(cuts, cuts[1:]):
-        if stop > start:
-            yield batch.slice(start, stop - start)
-
-
 def recount(texts: DataFrame, folder: str) -> DataFrame:
     """(lang, source, ord, n): how often each kept term occurs in each source, texts streamed through the transducers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(folder)
         for batch in batches:
-            for some in _slices(batch):
+            for some in slices(batch, "text", TOGETHER):
                 langs = some.column("lang").dictionary_encode()
                 for code, lang in enumerate(langs.dictionary.to_pylist()):
                     own = some.filter(pa.array(langs.indices.to_numpy() == code))

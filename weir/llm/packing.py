@@ -16,15 +16,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weir.llm.common import SLICE, stored
+from weir.llm.common import SLICE, slices, stored
 
 #: Partition offsets are broadcast up to this many partitions (16 bytes each), joined beyond.
 BROADCAST_PARTITIONS = 1 << 20
+#: Bytes of text encoded together, a longer text on its own.
+TOGETHER = 1 << 22
 #: Pieces of text a worker remembers the ids of, and as many older ones.
 REMEMBERED = 300_000
 
@@ -32,20 +35,30 @@ REMEMBERED = 300_000
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _PIECES = re.compile("[^ \t\n\r\x0b\x0c]+")
 # Marks that end a word: the pattern splits between a letter or digit and them, too.
-_MARKS = re.compile("([a-z0-9\u00e0-\u00f6\u00f8-\u00ff])([.,!?;:#$%&*|()]+)(?=\\s|$)")
+_MARKS = ".,!?;:#$%&*|()"
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789" + "".join(chr(c) for c in range(0xE0, 0x100) if c != 0xF7))
+# A piece of its own that stands between pieces encoded in one call, and how many these are.
+_BETWEEN, _AT_ONCE = "\x01", 512
 
 
 def _pieces(text: str) -> list[str]:
-    lowered = _MARKS.sub(r"\1 \2", text.encode("utf-8", "replace").lower().decode())
+    lowered = text.encode("utf-8", "replace").lower().decode()
     return _PIECES.findall(lowered) if _SEPARATORS.search(lowered) else lowered.split()
 
 
+def _parts(piece: str) -> tuple[str, ...]:
+    """A piece without the marks at its end, and these."""
+    word = piece.rstrip(_MARKS)
+    return (word, piece[len(word):]) if word and len(word) < len(piece) and word[-1] in _LETTERS else (piece,)
+
+
 class WordIds:
     """From texts to their ids, little-endian unsigned 32-bit.
 
     White space always ends a match of this tokenizer's pattern and is dropped, so a text's ids are those of
-    its pieces without white space, one after the other; marks at a word's end are a piece of their own, and A-Z
-    are lower-cased as the tokenizer would. Pieces repeat, so most need no encoding; new ones are encoded together. Of the pieces known, those that have not been met for a while are forgotten.
+    its pieces without white space, one after the other; marks at a word's end are a part of their own, and A-Z
+    are lower-cased as the tokenizer would. Pieces repeat, so most need no encoding; new ones are encoded together, many in one
+    text. Of the pieces known, those that have not been met for a while are forgotten.
 
     The tokenizer's added tokens, such as "<|endoftext|>", are looked for in the text as it is, and become one id
     each; "<|ENDOFTEXT|>" is ordinary text, though its pieces, lower-cased, look like one.
@@ -67,6 +80,8 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = dict(self.added)
         self.older: dict[str, bytes] = {}
+        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
 
     def pieces(self, text: str) -> list[str]:
         if self.literals and self.literals.search(text):
@@ -75,18 +90,56 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [self.pieces(t) for t in texts]
+        pieces = list(set().union(*split))
+        ids_of = dict(zip(pieces, self.looked_up(pieces)))
+        return [b"".join([ids_of[p] for p in some]) for some in split]
+
+    def of_array(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has. Only different pieces are handled one by one."""
+        if self.literals and pc.any(pc.match_substring_regex(texts, self.literals.pattern)).as_py():
+            ids = self.of(texts.to_pylist())
+            return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        found = self.looked_up(coded.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        firsts, piece = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        each = sizes[piece]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        places = np.arange(ends[-1]) + np.repeat(firsts[piece] - ends[:-1], each)
+        of_text = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        return np.frombuffer(b"".join(found), "<u4")[places], np.diff(of_text)
+
+    def looked_up(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of some different pieces."""
         if len(self.known) >= REMEMBERED:
             self.known, self.older = dict(self.added), self.known
-        known, older, new = self.known, self.older, []
-        for piece in set().union(*split).difference(known):  # unlike "-", this looks up the batch's pieces only
-            ids = older.get(piece)
-            if ids is None:
-                new.append(piece)
-            else:
-                known[piece] = ids
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+        known, older, new = self.known, self.older, {}
+        here = [_parts(piece) for piece in pieces]
+        for parts in here:
+            for part in parts:
+                if part not in known:
+                    ids = older.get(part)
+                    if ids is None:
+                        new[part] = None
+                    else:
+                        known[part] = ids
+        self.encode(list(new))
+        return [known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]] for parts in here]
+
+    def encode(self, new: list[str]) -> None:
+        """Make the pieces known. Those that hold what stands between pieces are encoded one by one."""
+        alone = [p for p in new if self.between is None or _BETWEEN in p]
+        together = [p for p in new if _BETWEEN not in p] if self.between is not None else []
+        groups = [together[i:i + _AT_ONCE] for i in range(0, len(together), _AT_ONCE)]
+        texts = [f" {_BETWEEN} ".join(group) for group in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.between)
+            raw, starts, stops = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+            self.known.update(zip(group, [raw[a:b] for a, b in zip(starts, stops, strict=True)], strict=True))
+        for piece, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[piece] = struct.pack(f"<{len(found.ids)}I", *found.ids)
 
 
 @lru_cache(maxsize=2)
@@ -100,21 +153,25 @@ def token_streams(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_i
     The rows are stored, so that their partitions stay as they are for the second pass.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, known = TaskContext.get().partitionId(), 0, word_ids(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                some = batch.slice(at, SLICE)
-                ids = [x + end for x in known.of(some.column("text").to_pylist())]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                starts = before + np.cumsum(sizes) - sizes
-                before += int(sizes.sum())
+            for some in slices(batch, "text", TOGETHER):
+                found, sizes = known.of_array(some.column("text"))
+                sizes = sizes + 1
+                ends = np.cumsum(sizes)
+                last = np.zeros(ends[-1], bool)
+                last[ends - 1] = True
+                ids = np.full(ends[-1], end_id, "<u4")
+                ids[~last] = found
+                bounds = pa.array(np.concatenate([[0], 4 * ends]), pa.int64()).buffers()[1]
+                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, bounds, pa.py_buffer(ids)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part)), some.column("id"), pa.array(ids, pa.binary()), pa.array(sizes), pa.array(starts)],
+                    [pa.array(np.full(len(ends), part)), some.column("id"), packed, pa.array(sizes), pa.array(before + ends - sizes)],
                     ["part", "id", "ids", "n_tokens", "before"],
                 )
+                before += int(ends[-1])
 
     schema = T.StructType([
         T.StructField("part", T.LongType()), T.StructField("id", rows.schema["id"].dataType),
