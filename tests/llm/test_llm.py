@@ -73,6 +73,17 @@ def test_urls(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_repeated_rows_and_long_urls(spark):
+    """A page twice, and urls of a million characters whose host, path or query is that long."""
+    long = "a-" * 500_000
+    urls = [(1, "http://a.net/x"), (1, "http://a.net/x"), (2, f"http://{long}.example.org/es/{long}"), (3, f"http://a.com/fr/{long}casino"), (4, f"http://b.net/?{long}"), (None, "http://org/")]
+    df = spark.createDataFrame([(i, u, True) for i, u in urls], "page_id int, url string, verdict boolean")
+    got = sorted([(r.row.page_id, len(r.host), len(r.path), r.rule, r.verdict) for r in url_filter.judge_urls(df).collect()], key=repr)
+    assert len(got) == 6 and got.count((1, 5, 2, None, "allow")) == 2
+    assert (2, 1_000_012, 1_000_004, "example.org/es/", "block") in got
+    assert (3, 5, 1_000_010, "com/fr/", "allow") in got and (None, 3, 1, "org/", "allow") in got
+
+
 def test_terms_overlap_and_have_borders():
     terms = ("she", "he", "hers")
     assert url_filter.term_hits("she-he", terms) == {0, 1}
