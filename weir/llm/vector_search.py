@@ -296,6 +296,19 @@ def _reach(points: np.ndarray, radii: np.ndarray, balls: list[_Ball]) -> np.ndar
     return reach + 1e-9 * (lengths + radii)[:, None] * (others + around) + 1
 
 
+def _query_groups(balls: list[_Ball], most: int) -> list[int]:
+    """A group for each pivot: neighbours along a chain from pivot to nearest pivot, with about ``most`` queries together."""
+    centers, left, at = np.array([b.center for b in balls]), list(range(1, len(balls))), 0
+    groups, group, held = [0] * len(balls), 0, balls[0].n_queries
+    while left:
+        at = left.pop(int(_distances(centers[[at]], centers[left])[0].argmin()))
+        if held and held + balls[at].n_queries > most:
+            group, held = group + 1, 0
+        groups[at] = group
+        held += balls[at].n_queries
+    return groups
+
+
 def top_k(
     embeddings: DataFrame,
     is_query: Column,
@@ -333,12 +346,19 @@ def top_k(
     placed, balls = with_pivots(rows, min(PIVOTS, 1 + n // candidate_block))
     kind = rows.schema["id"].dataType.simpleString()
 
-    def parts(dims: int, pivot: int, asks: bool) -> int:
-        ball = balls[dims][pivot]
-        return max(1, -(-(ball.n_queries if asks else ball.n) // (query_block if asks else candidate_block)))
+    groups = {dims: _query_groups(own, query_block) for dims, own in balls.items()}
+    asking = {}
+    for d, own in balls.items():
+        for g, ball in zip(groups[d], own):
+            asking[(d, g)] = asking.get((d, g), 0) + ball.n_queries
+
+    def parts(dims: int, place: int, asks: bool) -> int:
+        """Blocks of a group of queries, or of a pivot's candidates."""
+        rows, most = (asking[(dims, place)], query_block) if asks else (balls[dims][place].n, candidate_block)
+        return max(1, -(-rows // most))
 
     def dealt(pairs: dict[tuple[int, int], list[int]], first_only: bool):
-        """Rows to the groups where they meet: candidate pivots of a query pivot and length are in ``pairs``."""
+        """Rows to the blocks where they meet: candidate pivots of a length and group of queries are in ``pairs``."""
         wanted_by: dict[tuple[int, int], list[int]] = {}
         for (dims, q), own in pairs.items():
             for c in own:
@@ -352,9 +372,10 @@ def top_k(
                 at, group = [], []
                 for d, p, a in sorted(set(zip(dims.tolist(), pivot.tolist(), asks.tolist()))):
                     own = np.flatnonzero((dims == d) & (pivot == p) & (asks == a))
-                    block = draw[own] % parts(d, p, a)
+                    g = groups[d][p]
+                    block = draw[own] % parts(d, g if a else p, a)
                     if a:
-                        near = pairs.get((d, p), [])
+                        near = pairs.get((d, g), [])
                         if not near:
                             continue
                         reach = _reach(_vectors(batch, own), np.zeros(len(own)), [balls[d][c] for c in near])
@@ -362,7 +383,7 @@ def top_k(
                             for part in range(1 if first_only else parts(d, c, False)):
                                 there = np.flatnonzero(reach[:, j] >= floor[own])
                                 at.append(own[there])
-                                group += [f"{d}/{p}/{b}/{c}/{part}" for b in block[there].tolist()]
+                                group += [f"{d}/{g}/{b}/{c}/{part}" for b in block[there].tolist()]
                     else:
                         for q in wanted_by.get((d, p), []):
                             here = np.flatnonzero(block == 0) if first_only else np.arange(len(own))
@@ -409,7 +430,7 @@ def top_k(
     none = F.lit(float("-inf")).alias("floor")
     candidates = placed.select("id", "v", "dims", "pivot", draw.alias("draw"), F.lit(False).alias("asks"), none)
     queries = placed.where("is_query").select("id", "v", "dims", "pivot", draw.alias("draw"), F.lit(True).alias("asks"), none)
-    to_all = {(d, i): [j for j, c in enumerate(own) if c.n] for d, own in balls.items() for i, b in enumerate(own) if b.n_queries}
+    to_all = {(d, g): [j for j, c in enumerate(balls[d]) if c.n] for (d, g), n_queries in asking.items() if n_queries}
 
     def met(asking: DataFrame, pairs: dict, floors_only: bool, schema) -> DataFrame:
         both = asking.unionByName(candidates)
@@ -417,28 +438,29 @@ def top_k(
         return dealt_out.repartition("_group").sortWithinPartitions("_group").mapInArrow(search(floors_only), schema)
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The pairs of pivots that some query needs."""
+        """The pivots that some query of a group needs."""
         for batch in batches:
             dims, pivot, floor = (batch.column(x).to_numpy() for x in ("dims", "pivot", "floor"))
             for d in np.unique(dims).tolist():
                 own = np.flatnonzero(dims == d)
                 here = [j for j, ball in enumerate(balls[d]) if ball.n]
                 row, column = np.nonzero(_reach(_vectors(batch, own), np.zeros(len(own)), [balls[d][j] for j in here]) >= floor[own][:, None])
-                pairs = np.unique(np.stack([pivot[own][row], np.array(here)[column]]).astype(np.int32), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(pairs.shape[1], d, np.int32)), pa.array(pairs[0]), pa.array(pairs[1])], ["dims", "pivot", "other"])
+                group = np.array(groups[d])[pivot[own][row]]
+                pairs = np.unique(np.stack([group, np.array(here)[column]]).astype(np.int32), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(pairs.shape[1], d, np.int32)), pa.array(pairs[0]), pa.array(pairs[1])], ["dims", "asking", "other"])
 
     if any(len(own) > 1 or parts(d, 0, False) > 1 for d, own in balls.items()):
-        # The pivot that promises most, of those with enough rows, gives the first scores.
+        # The pivot that promises most to a group's largest ball, of those with enough rows, gives the first scores.
         promising = {}
-        for (d, i), own in to_all.items():
+        for (d, g), own in to_all.items():
             enough = [j for j in own if balls[d][j].n > 2 * k] or own
-            reach = [float(balls[d][i].center @ balls[d][j].center) for j in enough]
-            promising[(d, i)] = [enough[int(np.argmax(reach))]]
+            largest = max((b for b, other in zip(balls[d], groups[d]) if other == g), key=lambda b: b.n_queries)
+            promising[(d, g)] = [enough[int(np.argmax([float(largest.center @ balls[d][j].center) for j in enough]))]]
         queries = stored(met(queries, promising, True, queries.schema), "first-scores")
-        alive = queries.mapInArrow(wanted, "dims int, pivot int, other int").distinct()
+        alive = queries.mapInArrow(wanted, "dims int, asking int, other int").distinct()
         left: dict[tuple[int, int], list[int]] = {}
-        for r in alive.collect():  # at most the square of the number of pivots
-            left.setdefault((r.dims, r.pivot), []).append(r.other)
+        for r in alive.collect():  # at most the square of the number of pivots of a length
+            left.setdefault((r.dims, r.asking), []).append(r.other)
         to_all = left
     found = met(queries, to_all, False, f"query_id {kind}, id {kind}, score long")
     found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
