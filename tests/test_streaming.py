@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from weir.catalog import streams
 from weir.config import AggregationOptions, LogOptions, StreamOptions
 from weir.operators.select import closed_windows
 from weir.catalog.frames import HOUR, MINUTE, hourly, table, table_stream, utc
@@ -272,6 +273,30 @@ def test_buffers_flush_when_full_or_at_the_tick(spark):
         stateful.flushed(inbox(spark, [(1, at(0), "a")]), F.col("id"), 0, MINUTE)
 
 
+def test_stateful_queries_run_in_a_session_without_rocksdb(spark):
+    """As in a session with Spark's defaults, whose store holds one state per operator; the session keeps its settings."""
+    names = ("spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(names[0], default)
+    try:
+        found = streams.t9_counts_per_row(spark, small_tables(spark, conversations=[("user", "a b"), ("user", "a"), ("bot", "b  a")]))
+        assert sorted((r.word, r.n) for r in found.collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2)]
+        flushes = streams.t7_buffer_flushes(spark, small_tables(spark, events=[(i,) for i in range(4100)]))
+        assert sorted(tuple(r) for r in flushes.collect()) == sorted([(b, 1, 1000) for b in range(4)] + [(b, 2, 25) for b in range(4)])
+        assert [spark.conf.get(n) for n in names] == [default, before[1]]
+    finally:
+        spark.conf.set(names[0], before[0])
+
+
+def small_tables(spark, **rows):
+    """A folder with the given rows as tables, as the queries read them."""
+    path, schemas = scratch(spark, "tables"), {"conversations": "role string, text string", "events": "event_id long"}
+    for name, of in rows.items():
+        spark.createDataFrame(of, schemas[name]).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
 def test_shares_of_a_capped_batch():
     assert log_ranges.capped({0: 5, 1: 0}, {0: 9, 1: 100}, None) == {0: 9, 1: 100}
     assert log_ranges.capped({0: 0, 1: 0, 2: 7}, {0: 2, 1: 100, 2: 7}, 10) == {0: 2, 1: 8, 2: 7}
