@@ -1,15 +1,20 @@
 """Operators against brute force and their own invariants."""
 
 import itertools
+import json
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from weir.catalog.aggregates import a15_cells_to_map
 from weir.catalog.frames import HOUR, MINUTE, hourly, table
 from weir.operators import aggregate, enrich, keyed, rank, running, select, words
+from weir.operators import packing
 from weir.operators.packing import bulk_pack
+from weir.workspace import scratch
 
 FILES = {
     "0": "hello all\nhow are you\nan apple a day keeps the doctor away",
@@ -202,6 +207,17 @@ def test_wide_rows_split_into_parts(spark):
     assert sorted((m.row_key, c, v) for m in maps for c, v in m.cells.items()) == sorted(rows)
 
 
+def test_maps_are_joined_to_whole_rows(spark):
+    """One row per row key, with all of its cells, though they are dealt to four maps."""
+    path = scratch(spark, "tables")
+    rows = [(datetime(2024, 1, 1 + i % 2, i % 24), "click", i % 40) for i in range(400)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, user_id long").write.parquet(f"{path}/events.parquet")
+    found = {r.row_key: json.loads(r.cells) for r in a15_cells_to_map(spark, path).select("row_key", "cells").collect()}
+    days = ("click#20240101000000", "click#20240102000000")
+    assert found == {day: {f"v:{u}": 10.0 for u in range(40) if u % 2 == k} for k, day in enumerate(days)}
+    assert a15_cells_to_map(spark, path).count() == 2
+
+
 def test_column_rollup(spark):
     cells = [(f"r{r}", f"v:{c:02}", float(r * c)) for r in range(3) for c in range(30)]
     df = spark.createDataFrame(cells, "row_key string, column_key string, value double")
@@ -247,6 +263,19 @@ def test_bulk_pack_asks_for_buckets(spark):
     assert bulk_pack(frame.limit(0), "id", "text", buckets=3).count() == 0
 
 
+def test_full_payloads_are_handed_over_in_bounded_batches():
+    """One Arrow batch in, several out, none much larger than allowed; payloads run on from batch to batch."""
+    texts = [f"{i:05}" + "é" * 995 for i in range(20_000)]
+    buckets = [i // 9_000 for i in range(20_000)]
+    batches = [pa.record_batch({"bucket": pa.array(buckets[a:b], pa.int64()), "doc": texts[a:b]}) for a, b in ((0, 17), (17, 12_001), (12_001, 12_030), (12_030, 20_000))]
+    out = list(packing._packer(200, 50_000)(iter(batches)))
+    assert max(o.nbytes for o in out) < 3 * packing._CHARS_TOGETHER
+    rows = [r for o in out for r in o.to_pylist()]
+    assert [d for r in rows for d in r["docs"]] == texts
+    assert [(r["bucket"], r["payload_no"]) for r in rows] == [(b, k) for b, n in enumerate((180, 180, 40)) for k in range(n)]
+    assert {(r["n_docs"], r["n_chars"]) for r in rows} == {(50, 50_000)}
+
+
 def test_bulk_pack_keeps_id_order(spark):
     frame = spark.createDataFrame([(i, f"{i:04}") for i in range(1000)], "id long, text string").repartition(9)
     packed = bulk_pack(frame, "id", "text", max_docs=7, bucket=F.lit(0)).orderBy("payload_no").collect()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,30 +15,54 @@ MAX_DOCS = 200
 MAX_CHARS = 50_000
 
 
+# Characters of the payloads that a task hands over together.
+_CHARS_TOGETHER = 4_000_000
+
+_PAYLOADS = "bucket long, payload_no long, docs array<string>, n_docs long, n_chars long"
+
+
 def _packer(max_docs: int, max_chars: int):
-    """Walk sorted rows batch by batch, holding no more than the payload being filled."""
+    """Walk sorted rows batch by batch, holding the payload being filled and a bounded number of full ones.
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, number, docs, chars = None, 0, [], 0
+    Documents stay in Arrow; only their lengths become Python numbers.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, number, n_docs, n_chars = None, 0, 0, 0
+        full: list[tuple] = []
+        pieces: list[pa.Array] = []  # the documents of the full payloads, then those of the open one
 
-        def payload() -> tuple:
-            return bucket, number, docs, len(docs), chars
+        def handed_over(docs: list[pa.Array]) -> pa.RecordBatch:
+            buckets, numbers, counts, chars = zip(*full, strict=True)
+            ends = pa.array([0, *accumulate(counts)], pa.int32())
+            longs = [pa.array(c, pa.int64()) for c in (buckets, numbers, counts, chars)]
+            listed = pa.ListArray.from_arrays(ends, pa.concat_arrays(docs))
+            return pa.RecordBatch.from_arrays([*longs[:2], listed, *longs[2:]], names=["bucket", "payload_no", "docs", "n_docs", "n_chars"])
 
         for batch in batches:
-            done = []
-            for row_bucket, doc in zip(batch["bucket"], batch["doc"], strict=True):
-                if row_bucket != bucket:
-                    if docs:
-                        done.append(payload())
-                    bucket, number, docs, chars = row_bucket, 0, [], 0
-                elif chars >= max_chars or len(docs) == max_docs:
-                    done.append(payload())
-                    number, docs, chars = number + 1, [], 0
-                docs.append(doc)
-                chars += len(doc)
-            yield pd.DataFrame(done, columns=["bucket", "payload_no", "docs", "n_docs", "n_chars"])
-        if docs:
-            yield pd.DataFrame([payload()], columns=["bucket", "payload_no", "docs", "n_docs", "n_chars"])
+            docs, begin, together = batch.column("doc"), 0, 0
+            lengths = pc.utf8_length(docs).to_pylist()
+            for i, (row_bucket, length) in enumerate(zip(batch.column("bucket").to_pylist(), lengths, strict=True)):
+                another = row_bucket is None or row_bucket != bucket  # rows without a bucket go alone
+                if another or n_chars >= max_chars or n_docs == max_docs:
+                    if n_docs:
+                        full.append((bucket, number, n_docs, n_chars))
+                        together += n_chars
+                        if together >= _CHARS_TOGETHER:
+                            yield handed_over([*pieces, docs.slice(begin, i - begin)])
+                            full, pieces, begin, together = [], [], i, 0
+                    bucket, number, n_docs, n_chars = row_bucket, 0 if another else number + 1, 0, 0
+                n_docs += 1
+                n_chars += length
+            open_from = max(begin, len(docs) - n_docs)
+            if full:
+                yield handed_over([*pieces, docs.slice(begin, open_from - begin)])
+                full, pieces = [], []
+            # Copied, so that the batch it is cut from need not be kept.
+            pieces.append(docs.take(pa.array(range(open_from, len(docs)), pa.int64())))
+        if n_docs:
+            full = [(bucket, number, n_docs, n_chars)]
+            yield handed_over(pieces)
 
     return pack
 
@@ -69,7 +95,4 @@ def bulk_pack(
         bucket.cast("long").alias("bucket"), F.col(id).alias("id"), F.coalesce(text, F.lit("")).alias("doc")
     )
     ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "id").select("bucket", "doc")
-    return ordered.mapInPandas(
-        _packer(max_docs, max_chars),
-        "bucket long, payload_no long, docs array<string>, n_docs long, n_chars long",
-    )
+    return ordered.mapInArrow(_packer(max_docs, max_chars), _PAYLOADS)
