@@ -297,6 +297,29 @@ def small_tables(spark, **rows):
     return path
 
 
+def test_log_files_are_of_bounded_size(spark):
+    """A partition of the log is several files, if it is larger than Spark's tasks are to be."""
+    tables, name = scratch(spark, "tables"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    docs = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", "repeat(sha2(cast(id AS string), 512), 8) AS text")
+    docs.write.parquet(f"{tables}/documents.parquet")
+    spark.conf.set(name, "200k")
+    try:
+        log = spark.read.parquet(streams._log_files(spark, tables))
+    finally:
+        spark.conf.unset(name)
+    held = log.groupBy(F.input_file_name().alias("file")).agg(F.count_distinct("partition").alias("partitions"), F.count("value").alias("n")).collect()
+    assert len(held) >= 8 and {h.partitions for h in held} == {1} and sum(h.n for h in held) == 4000
+    assert streams.s1_event_log_source(spark, tables).count() == 4000
+
+
+def test_log_files_hold_records_in_order(spark):
+    log = scratch(spark, "log")
+    records = spark.range(5000).selectExpr("cast(id % 2 AS int) AS partition", "id div 2 AS offset", "timestamp_seconds(id) AS timestamp", "cast('x' AS binary) AS value")
+    write_log_files(records.repartition(7, F.hash("offset")), log)
+    for held in spark.read.parquet(log).groupBy(F.input_file_name()).agg(F.collect_list("offset").alias("offsets")).collect():
+        assert held.offsets == sorted(held.offsets)
+
+
 def test_shares_of_a_capped_batch():
     assert log_ranges.capped({0: 5, 1: 0}, {0: 9, 1: 100}, None) == {0: 9, 1: 100}
     assert log_ranges.capped({0: 0, 1: 0, 2: 7}, {0: 2, 1: 100, 2: 7}, 10) == {0: 2, 1: 8, 2: 7}
@@ -304,6 +327,13 @@ def test_shares_of_a_capped_batch():
     assert log_ranges.capped({}, {}, 3) == {}
 
 
+def test_short_ranges_share_a_task():
+    ranges = [log_ranges.OffsetRange(p, 0, n) for p, n in enumerate((3, 4, 5, 20, 1, 1))]
+    tasks = log_ranges.together(ranges, 10)
+    assert [[r.partition for r in t.ranges] for t in tasks] == [[0, 1], [2], [3], [4, 5]]
+    assert [r for t in tasks for r in t.ranges] == ranges and log_ranges.together([]) == []
+
+
 def test_log_is_read_by_records_from_where_it_was_left(spark):
     """What the batches read are the ranges that ``next_ranges`` gives between their ends; a failed batch is read again."""
     log, options, seen, crash = scratch(spark, "log"), StreamOptions(scratch(spark, "c"), trigger=timedelta(milliseconds=10)), [], {"armed": True}
