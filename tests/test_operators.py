@@ -59,6 +59,14 @@ def test_running_word_count(spark, span):
     assert tuples(found) == sorted(expected, key=repr)
 
 
+def test_running_word_count_of_repeated_and_missing_ids(spark):
+    """Documents with one id, or none, are numbered one after the other in any order."""
+    docs = [(None, "a b a"), (None, "a"), (3, "b a"), (3, "a"), (900, "a c"), (901, None), (902, "")]
+    expected = [(None, "a", n) for n in (1, 2, 3)] + [(None, "b", 1), (3, "b", 2), (3, "a", 4), (3, "a", 5), (900, "a", 6), (900, "c", 1)]
+    found = words.running_word_count(spark.createDataFrame(docs, "id long, text string").repartition(3), "id", "text", 128)
+    assert tuples(found) == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize(("span", "levels"), [(64, 1), (64, 2), (3, 3), (5000, 2), (10**6, 2)])
 def test_running_sum_with_a_hot_key(spark, span, levels):
     """Negative, then far apart orders; one key NULL."""

@@ -64,6 +64,12 @@ def test_running_words_shuffle_once_without_python(spark, sf_dir):
     assert "ReusedExchange" in text and "Python" not in text and "InArrow" not in text
 
 
+def test_running_words_are_counted_without_sorting_them(spark, sf_dir):
+    """Words per slice are counted by hash; only the numbering sorts all occurrences, led by a hash of the word."""
+    text = final_plan(spark, sf_dir, "a9_running_word_count")
+    assert text.count("row_number()") == 1 and "HashAggregate(keys=[_key" in text and "Sort [_key" in text
+
+
 def test_updates_are_read_once(spark, sf_dir):
     """The base, and the two copies of it that the changes are made from."""
     assert final_plan(spark, sf_dir, "k5_upsert").count("Scan parquet") == 3
