@@ -6,20 +6,22 @@ import glob
 import hashlib
 import math
 import os
+import random
 import re
 import zlib
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filter, warc
-from weir.llm.common import held_out, labelled_sample
+from weir.llm.common import held_out, labelled_sample, whole_runs
 from weir.llm.components import components
-from weir.llm.near_documents import near_documents, needed_matches
+from weir.llm.near_documents import near_documents, needed_matches, pairs_in_runs
 from weir.llm.near_vectors import near_vectors
 from weir.llm.queries import ORACLE_SQL, QUERIES
 from weir.llm.vector_search import cover_tree, dual_tree_search, exact_scores, top_k
@@ -595,6 +597,30 @@ def test_pruning_misses_as_many_pairs_as_stated():
         assert abs(lost - stated) < 0.01 * stated
 
 
+def test_components_end_at_stars(spark, monkeypatch):
+    """A star takes one round, no second one to see that nothing changes."""
+    from weir.llm import components as module
+
+    rounds = []
+    monkeypatch.setattr(module, "stored", lambda df, name: rounds.append(name) or df.localCheckpoint())
+    star = [(i, 0) for i in range(1, 40)] + [(0, 7), (50, 51), (51, 50)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(star, "a int, b int")).collect()}
+    assert got == dict.fromkeys(range(40), 0) | {50: 50, 51: 50} and len(rounds) == 1
+
+
+def test_runs_across_batches_give_their_pairs():
+    """Whatever the cuts between batches, and however few pairs are made at a time."""
+    rng = random.Random(5)
+    for _ in range(200):
+        keys = sorted(rng.choice("abcdef") for _ in range(rng.randrange(30)))
+        cuts = sorted(rng.randrange(len(keys) + 1) for _ in range(4))
+        batches = [pa.RecordBatch.from_pydict({"k": pa.array(keys[i:j], pa.string())}) for i, j in zip([0, *cuts], [*cuts, len(keys)])]
+        dealt = [b.column("k") for b in whole_runs(iter(batches), "k")]
+        assert [k for part in dealt for k in part.to_pylist()] == keys
+        found = [part[x].as_py() for part in dealt for i, j in pairs_in_runs(part, rng.choice([1, 5, 1000])) for x, y in zip(i, j) if x < y]
+        assert sorted(found) == [keys[x] for x in range(len(keys)) for y in range(x + 1, len(keys)) if keys[x] == keys[y]]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (90, 90), (None, 3), (50, 60), (60, 70)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a int, b int")).collect()}

@@ -111,6 +111,22 @@ def grouped_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield held
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by ``key``, dealt anew so that no run of rows with an equal key spans two batches."""
+    held: list[pa.RecordBatch] = []  # the last run so far
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = batch.column(key)
+        last = pc.index(keys, keys[-1]).as_py()
+        if last or (held and held[0].column(key)[0] != keys[0]):
+            yield pa.concat_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.concat_batches(held)
+
+
 def in_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with its rows dealt out and sorted by ``keys``, joined to one text column ``_group``."""
     text = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])

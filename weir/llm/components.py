@@ -13,7 +13,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
     linked = both.where("b > a").join(least, "a")
-    return linked.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+    return linked.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -23,21 +23,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node with an edge down has one only, and none that leads to it; edges point from a down to b, none repeats."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 OR down = 1 AND up = 1").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of an edge: the smallest node it is connected with.
 
     Nodes are of any sortable type; loops and edges with a null are dropped, repeated edges do no harm. Each
-    round works on at most as many edges as the last, written to the shared folder; it ends when a round
-    changes nothing, after a number of rounds that grows with the logarithm of the components' sizes. A node
+    round works on at most as many edges as the last, written to the shared folder; it ends when only stars are
+    left, after a number of rounds that grows with the logarithm of the components' sizes. A node
     with many edges is summed up per task before it is shuffled.
     """
     ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    now = stored(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
+    now = ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or state[0] == 0:
+        now = stored(_small_star(_large_star(now)), "edges")
+        if _are_stars(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        seen = state
-        now = stored(_small_star(_large_star(now)), "edges")

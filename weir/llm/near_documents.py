@@ -17,11 +17,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import SLICE, grouped_runs, in_groups, stored
+from weir.llm.common import SLICE, in_groups, stored, whole_runs
 from weir.llm.spans import BASE, SpanHash, mixed
 from weir.llm.components import components
 
@@ -132,16 +133,31 @@ def needed_matches(positions: int, batch: int, similarity: float, miss: float) -
     return tuple(least)
 
 
-def plausible(a: np.ndarray, b: np.ndarray, batch: int, needed: tuple[int, ...]) -> np.ndarray:
-    """Indices of the pairs of signatures (rows of ``a`` and ``b``) that no batch rules out."""
+def plausible(signs: np.ndarray, a: np.ndarray, b: np.ndarray, batch: int, needed: tuple[int, ...]) -> np.ndarray:
+    """Indices of the pairs (rows ``a`` and ``b`` of the signatures) that no batch rules out."""
     alive, matches = np.arange(len(a)), np.zeros(len(a), np.int64)
     for i, least in enumerate(needed):
         part = slice(i * batch, (i + 1) * batch)
-        matches = matches + (a[alive, part] == b[alive, part]).sum(1)
+        matches = matches + (signs[a[alive], part] == signs[b[alive], part]).sum(1)
         alive, matches = alive[matches >= least], matches[matches >= least]
     return alive
 
 
+def pairs_in_runs(key: pa.Array, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (i, j), i < j, of rows in the same run of equal ``key``, about ``most`` at a time."""
+    change = pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy(zero_copy_only=False)
+    stops = np.concatenate([np.flatnonzero(change) + 1, [len(key)]])
+    later = np.repeat(stops, np.diff(stops, prepend=0)) - np.arange(len(key)) - 1  # rows that follow in the run
+    before = np.cumsum(later)
+    start = 0
+    while start < len(key):
+        stop = max(start + 1, int(np.searchsorted(before, (before[start - 1] if start else 0) + most, "right")))
+        some = later[start:stop]
+        i = np.repeat(np.arange(start, stop), some)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some)
+        start = stop
+
+
 def signatures(docs: DataFrame, size: int, signer: Signer, id: str, text: str) -> DataFrame:
     """(id, text_hash, n, node, keys, signature) per row; node, keys and signature are null without words."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
@@ -179,9 +195,10 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch_ in batches:
-            if batch_.num_rows:
-                a, b = (np.frombuffer(b"".join(batch_.column(c).to_pylist()), np.uint8).reshape(batch_.num_rows, -1) for c in ("s_a", "s_b"))
-                yield batch_.select(["a", "b"]).take(pa.array(plausible(a, b, batch, needed)))
+            if n := batch_.num_rows:
+                both_ = batch_.column("s_a").to_pylist() + batch_.column("s_b").to_pylist()
+                signs, first = np.frombuffer(b"".join(both_), np.uint8).reshape(2 * n, -1), np.arange(n)
+                yield batch_.select(["a", "b"]).take(pa.array(plausible(signs, first, first + n, batch, needed)))
 
     return both.mapInArrow(prune, "a binary, b binary")
 
@@ -244,27 +261,25 @@ def _links_across_groups(members: DataFrame, nodes: DataFrame, sets: DataFrame,
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in grouped_runs(batches, "_group"):
-            if run.num_rows < 2:
-                continue
-            nodes_, n, tiles = run.column("node").combine_chunks(), run.column("n").to_numpy(), run.column("tile").to_numpy()
-            groups = run.column("group").combine_chunks().dictionary_encode().indices.to_numpy()
-            signs = np.frombuffer(b"".join(run.column("signature").to_pylist()), np.uint8).reshape(run.num_rows, -1)
-            hashes = [np.frombuffer(h, np.uint64) for h in run.column("hashes").to_pylist()]
-            keys, key = run.column("keys").combine_chunks().flatten().to_numpy().reshape(run.num_rows, -1), run.column("key")[0].as_py()
-            two = run.column("low")[0] != run.column("high")[0]
-            for i in range(run.num_rows):
-                fits = (groups != groups[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-                fits[:i + 1] = False
-                if two:
-                    fits &= tiles != tiles[i]
-                j = np.flatnonzero(fits)
-                j = j[plausible(np.broadcast_to(signs[i], (len(j), signs.shape[1])), signs[j], batch, needed)]
-                shared = keys[j] == keys[i]
-                j = j[keys[i][shared.argmax(axis=1)] == key]
-                j = j[[similar(hashes[i], hashes[x], percent) for x in j]] if len(j) else j
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array([nodes_[i].as_py()] * len(j), pa.binary()), nodes_.take(pa.array(j))], ["a", "b"])
+        for runs in whole_runs(batches, "_group"):
+            nodes_, n, tiles = runs.column("node"), runs.column("n").to_numpy(), runs.column("tile").to_numpy()
+            groups = runs.column("group").dictionary_encode().indices.to_numpy()
+            two = (pc.not_equal(runs.column("low"), runs.column("high"))).to_numpy(zero_copy_only=False)
+            signs = np.frombuffer(b"".join(runs.column("signature").to_pylist()), np.uint8).reshape(runs.num_rows, -1)
+            keys, key = runs.column("keys").flatten().to_numpy().reshape(runs.num_rows, -1), runs.column("key").to_numpy()
+            hashes = runs.column("hashes")
+            for i, j in pairs_in_runs(runs.column("_group")):
+                fits = (groups[i] != groups[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (~two[i] | (tiles[i] != tiles[j]))
+                i, j = i[fits], j[fits]
+                left = plausible(signs, i, j, batch, needed)
+                i, j = i[left], j[left]
+                first = (keys[i] == keys[j]).argmax(axis=1)
+                here = keys[i, first] == key[i]
+                i, j = i[here], j[here]
+                linked = np.array([
+                    similar(*(np.frombuffer(hashes[x].as_buffer(), np.uint64) for x in pair), percent) for pair in zip(i.tolist(), j.tolist())], bool)
+                if linked.any():
+                    yield pa.RecordBatch.from_arrays([nodes_.take(pa.array(i[linked])), nodes_.take(pa.array(j[linked]))], ["a", "b"])
 
     rows = dealt.select("key", "node", "group", "n", "signature", "keys", "hashes", "tile", "low", "high")
     found = in_groups(rows, ["key", "low", "high"]).mapInArrow(compare, "a binary, b binary")
@@ -312,11 +327,10 @@ def near_documents(
     needed = needed_matches(positions, batch, percent / 100, miss)
     signed = signatures(docs, size, signer, id, text)
     first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash"))
-    classes = signed.where("node IS NOT NULL").groupBy("node").agg(first.alias("rep"), F.first("n").alias("n"))
-    reps = stored(classes.select("node", "rep.id", "rep.text_hash"), "classes")
-    of_reps = signed.alias("s").join(
-        reps.alias("r"), (F.col("s.node") == F.col("r.node")) & F.col("s.id").eqNullSafe(F.col("r.id")) & (F.col("s.text_hash") == F.col("r.text_hash")))
-    nodes = stored(of_reps.select("s.node", "s.n", "s.keys", "s.signature").dropDuplicates(["node"]), "class-signatures")
+    # Rows with equal sets have equal signatures, so any of them will do.
+    classes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(
+        first.alias("rep"), *[F.first(c).alias(c) for c in ("n", "keys", "signature")]), "classes")
+    reps, nodes = classes.select("node", "rep.id", "rep.text_hash"), classes.select("node", "n", "keys", "signature")
 
     banded = nodes.select("node", F.explode("keys").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
@@ -326,7 +340,7 @@ def near_documents(
     def links(pairs: DataFrame) -> DataFrame:
         return stored(_verified(stored(pairs, "candidates"), sets, percent), "links")
 
-    found, groups = None, None
+    groups = None
     for turn in range(turns):
         placed, draws = _placed(members, groups), [F.lit(turn * hubs + i) for i in range(hubs)]
         hub = placed.groupBy("key").agg(*[F.min_by(F.struct("node", "group"), F.xxhash64("node", d)).alias(f"hub{i}") for i, d in enumerate(draws)])
@@ -337,10 +351,9 @@ def near_documents(
         met = met.select("node", F.explode("drawn").alias("drawn")).where("drawn IS NOT NULL")
         pairs = met.select(F.least("node", "drawn").alias("a"), F.greatest("node", "drawn").alias("b"))
         more = links(_surviving(pairs, nodes, batch, needed, percent))
-        found = more if found is None else found.unionByName(more)
-        groups = components(found)
+        groups = components(more if groups is None else groups.toDF("a", "b").unionByName(more))
     more = stored(_links_across_groups(_placed(members, groups), nodes, sets, batch, needed, percent, tile), "links")
-    groups = components(found.unionByName(more))
+    groups = components(more if groups is None else groups.toDF("a", "b").unionByName(more))
 
     labelled = signed.select("id", "text_hash", "n", "node").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
     least = (
