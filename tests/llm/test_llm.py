@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filter, warc
-from weir.llm.common import held_out, labelled_sample, whole_runs
-from weir.llm.components import components
+from weir.llm.common import WIDE_ROWS, arrow_rows, held_out, labelled_sample, stored, whole_runs
+from weir.llm.components import components, contracted
 from weir.llm.near_documents import near_documents, needed_matches, pairs_in_runs
 from weir.llm.near_vectors import near_vectors
 from weir.llm.queries import ORACLE_SQL, QUERIES
@@ -608,6 +608,42 @@ def test_components_end_at_stars(spark, monkeypatch):
     assert got == dict.fromkeys(range(40), 0) | {50: 50, 51: 50} and len(rounds) == 1
 
 
+def test_contracted_edges_keep_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (90, 90), (None, 3), (50, 60), (60, 70)]
+    edges = spark.createDataFrame(chain, "a int, b int")
+    once = contracted(edges)
+    assert once.where("a <= b").isEmpty() and once.count() <= len(chain)
+    assert {(r.node, r.component) for r in components(once).collect()} == {(r.node, r.component) for r in components(edges).collect()}
+
+
+def test_near_documents_contract_groups_once_a_turn(spark, monkeypatch):
+    """Only the last groups take rounds until they are whole; candidates are verified as they are found."""
+    from weir.llm import components as stars
+    from weir.llm import near_documents as module
+
+    names = []
+    for m in (stars, module):
+        monkeypatch.setattr(m, "stored", lambda df, name, f=m.stored, **k: names.append(name) or f(df, name, **k))
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(words[:90 + i % 3])) for i in range(6)]
+    assert {r.component for r in near_documents(documents(spark, rows), turns=2).collect()} == {0}
+    assert names.count("edges") == 3 and "candidates" not in names
+
+
+def test_workers_get_few_wide_rows_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, rows = spark.conf.get(name), spark.range(0, 6000, 1, 1)
+    assert stored(rows.mapInArrow(sizes, "n long"), "sizes", batch_rows=WIDE_ROWS).selectExpr("max(n)", "sum(n)").first() == (WIDE_ROWS, 6000)
+    assert spark.conf.get(name) == before
+    with arrow_rows(spark, 100), arrow_rows(spark, 500):
+        assert spark.conf.get(name) == "100"
+    assert spark.conf.get(name) == before
+
+
 def test_runs_across_batches_give_their_pairs():
     """Whatever the cuts between batches, and however few pairs are made at a time."""
     rng = random.Random(5)

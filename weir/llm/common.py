@@ -4,27 +4,47 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.workspace import scratch
 
 #: Rows a Python worker handles at a time, so that a batch of very long texts stays small.
 SLICE = 256
-
-
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+#: Rows in an Arrow batch between Spark and its Python workers where rows hold whole texts, token streams or sets. A batch lies in
+#: both processes at once, with room to grow, so Spark's 10 000 rows would be some hundred MB for each executor.
+WIDE_ROWS = 2048
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Within it, queries that run hand their Python workers at most ``most`` rows at a time; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= most:
+        yield
+        return
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, name: str, codec: str = "zstd", batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     This cuts the lineage: what follows survives lost executors without computing ``df`` again, and any
-    number of readers see the same rows.
+    number of readers see the same rows. Its Python workers get at most ``batch_rows`` rows at a time, by default Spark's number.
     """
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
+    with nullcontext() if batch_rows is None else arrow_rows(df.sparkSession, batch_rows):
+        df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -30,6 +30,24 @@ def _are_stars(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 OR down = 1 AND up = 1").isEmpty()
 
 
+def _ends(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """The edges, pointing from their larger end down, without loops and nulls."""
+    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    return ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    """A large and a small star, in fewer files than shuffle partitions: an edge is two ids, far narrower than other rows."""
+    spark = edges.sparkSession
+    files = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return stored(_small_star(_large_star(edges)).coalesce(files), "edges")
+
+
+def contracted(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(a, b): edges that join the same nodes into the same components, one round nearer to stars; at most as many."""
+    return _round(_ends(edges, a, b))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for each node of an edge: the smallest node it is connected with.
 
@@ -38,10 +56,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     left, after a number of rounds that grows with the logarithm of the components' sizes. A node
     with many edges is summed up per task before it is shuffled.
     """
-    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    now = ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = _ends(edges, a, b)
     while True:
-        now = stored(_small_star(_large_star(now)), "edges")
+        now = _round(now)
         if _are_stars(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -7,7 +7,7 @@ reaches the threshold falls below the miss probability; survivors are verified o
 
 Not all pairs of a bucket are compared: first, a few times, each member meets one member drawn by a hash, and the
 links found join classes into groups. Only members of a bucket that are then in different groups meet each other,
-tile by tile. That gives the same groups as comparing every pair.
+tile by tile. That gives the same groups as comparing every pair, even where a group found before is a part of one.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import SLICE, in_groups, stored, whole_runs
+from weir.llm.common import SLICE, WIDE_ROWS, in_groups, stored, whole_runs
 from weir.llm.spans import BASE, SpanHash, mixed
-from weir.llm.components import components
+from weir.llm.components import components, contracted
 
 #: Bytes of text hashed at a time, a longer text on its own.
 _TOGETHER = 1 << 19
@@ -181,7 +181,7 @@ def signatures(docs: DataFrame, size: int, signer: Signer, id: str, text: str) -
 
     kind = rows.schema["id"].dataType.simpleString()
     return stored(rows.mapInArrow(
-        sign, f"id {kind}, text_hash long, n long, node binary, keys array<long>, signature binary"), "signatures")
+        sign, f"id {kind}, text_hash long, n long, node binary, keys array<long>, signature binary"), "signatures", batch_rows=WIDE_ROWS)
 
 
 def _surviving(pairs: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int, ...], percent: int) -> DataFrame:
@@ -217,7 +217,7 @@ def class_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, size: int, i
                 yield pa.RecordBatch.from_arrays([some.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     # A row that repeats id and text gives its class again.
-    return stored(found.mapInArrow(to_sets, "node binary, hashes binary").dropDuplicates(["node"]), "shingle-sets")
+    return stored(found.mapInArrow(to_sets, "node binary, hashes binary").dropDuplicates(["node"]), "shingle-sets", batch_rows=WIDE_ROWS)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -337,10 +337,7 @@ def near_documents(
     members = stored(banded.join(buckets, "key"), "buckets")
     sets = class_sets(members.select("node").distinct(), docs, reps, size, id, text)
 
-    def links(pairs: DataFrame) -> DataFrame:
-        return stored(_verified(stored(pairs, "candidates"), sets, percent), "links")
-
-    groups = None
+    groups = edges = None
     for turn in range(turns):
         placed, draws = _placed(members, groups), [F.lit(turn * hubs + i) for i in range(hubs)]
         hub = placed.groupBy("key").agg(*[F.min_by(F.struct("node", "group"), F.xxhash64("node", d)).alias(f"hub{i}") for i, d in enumerate(draws)])
@@ -350,10 +347,12 @@ def near_documents(
             for i, d in enumerate(draws)])).alias("drawn"))
         met = met.select("node", F.explode("drawn").alias("drawn")).where("drawn IS NOT NULL")
         pairs = met.select(F.least("node", "drawn").alias("a"), F.greatest("node", "drawn").alias("b"))
-        more = links(_surviving(pairs, nodes, batch, needed, percent))
-        groups = components(more if groups is None else groups.toDF("a", "b").unionByName(more))
-    more = stored(_links_across_groups(_placed(members, groups), nodes, sets, batch, needed, percent, tile), "links")
-    groups = components(more if groups is None else groups.toDF("a", "b").unionByName(more))
+        more = stored(_verified(_surviving(pairs, nodes, batch, needed, percent), sets, percent), "links", batch_rows=WIDE_ROWS)
+        # Groups that are not yet whole cost comparisons, never a link; only the last ones must be components.
+        edges = contracted(more if edges is None else edges.unionByName(more))
+        groups = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    more = stored(_links_across_groups(_placed(members, groups), nodes, sets, batch, needed, percent, tile), "links", batch_rows=WIDE_ROWS)
+    groups = components(more if edges is None else edges.unionByName(more))
 
     labelled = signed.select("id", "text_hash", "n", "node").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
     least = (
