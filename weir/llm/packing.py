@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weir.llm.common import SLICE, slices, stored
+from weir.llm.common import SLICE, WIDE_ROWS, slices, stored
 
 #: Partition offsets are broadcast up to this many partitions (16 bytes each), joined beyond.
 BROADCAST_PARTITIONS = 1 << 20
 #: Bytes of text encoded together, a longer text on its own.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 21
 #: Pieces of text a worker remembers the ids of, and as many older ones.
 REMEMBERED = 300_000
 
@@ -106,7 +106,8 @@ class WordIds:
         firsts, piece = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
         each = sizes[piece]
         ends = np.concatenate([[0], np.cumsum(each)])
-        places = np.arange(ends[-1]) + np.repeat(firsts[piece] - ends[:-1], each)
+        places = np.repeat(firsts[piece] - ends[:-1], each)
+        places += np.arange(ends[-1])
         of_text = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
         return np.frombuffer(b"".join(found), "<u4")[places], np.diff(of_text)
 
@@ -177,7 +178,7 @@ def token_streams(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_i
         T.StructField("part", T.LongType()), T.StructField("id", rows.schema["id"].dataType),
         T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("before", T.LongType()),
     ])
-    return stored(rows.mapInArrow(encode, schema), "token-streams")
+    return stored(rows.mapInArrow(encode, schema), "token-streams", batch_rows=WIDE_ROWS)
 
 
 def with_offsets(streams: DataFrame) -> DataFrame:
