@@ -9,6 +9,7 @@ import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filter, warc
-from weir.llm.common import WIDE_ROWS, arrow_rows, held_out, labelled_sample, stored, whole_runs
+from weir.llm.common import WIDE_ROWS, arrow_rows, held_out, labelled_sample, likely, stored, whole_runs
 from weir.llm.components import components, contracted
 from weir.llm.near_documents import near_documents, needed_matches, pairs_in_runs
 from weir.llm.near_vectors import near_vectors
@@ -630,6 +631,40 @@ def test_near_documents_contract_groups_once_a_turn(spark, monkeypatch):
     assert names.count("edges") == 3 and "candidates" not in names
 
 
+def test_likely_rows_hold_all_wanted_ones(spark, monkeypatch):
+    from weir.llm import common
+
+    rows = [(i % 300, "x") for i in range(600)] + [(None, "y")]
+    df = spark.createDataFrame(rows, "k int, _text string")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 300, 7)] + [(7,), (None,), (10 ** 6,)], "w int")
+    exact = sorted((repr(k), t) for k, t in rows if k is None or k % 7 == 0)
+    got = likely(df, F.col("k"), wanted)
+    assert got.columns == df.columns and sorted((repr(r.k), r._text) for r in got.collect()) == exact
+    assert likely(df, F.col("k"), wanted.limit(0)).isEmpty()
+    monkeypatch.setattr(common, "FILTER_BITS", 128)  # bits meet, and others stay
+    got = sorted((repr(r.k), r._text) for r in likely(df, F.col("k"), wanted).collect())
+    assert not Counter(exact) - Counter(got) and len(exact) < len(got) < len(rows)
+
+
+def test_near_documents_send_only_sets_that_are_compared(spark, monkeypatch):
+    """Members whose signatures leave no pair meet without their sets, and buckets are found by dealing out their rows once."""
+    from weir.llm import near_documents as module
+
+    dealt, plans = [], {}
+    monkeypatch.setattr(module, "in_groups", lambda df, keys, f=module.in_groups: dealt.append(df) or f(df, keys))
+    monkeypatch.setattr(module, "stored", lambda df, name, f=module.stored, **k: plans.update({name: df._jdf.queryExecution().toString()}) or f(df, name, **k))
+    common = [f"c{i}" for i in range(80)]
+    rows = [(i, " ".join(common + [f"own{i}x{j}" for j in range(40)])) for i in range(12)]
+    near = [f"n{i}" for i in range(100)]
+    rows += [(100 + i, " ".join(near[:97] + [f"last{i}"])) for i in range(3)]
+    got = {r.id: r.component for r in near_documents(documents(spark, rows), size=1, turns=0).collect()}
+    assert got == {i: i for i in range(12)} | {100: 100, 101: 100, 102: 100}
+    first, second = dealt
+    assert "hashes" not in first.columns and first.select("node").distinct().count() > 3
+    assert "hashes" in second.columns and second.select("node").distinct().count() == 3
+    assert plans["buckets"].split("== Physical Plan ==")[1].count("Exchange hashpartitioning(key") == 1
+
+
 def test_workers_get_few_wide_rows_at_a_time(spark):
     def sizes(batches):
         for batch in batches:

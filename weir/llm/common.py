@@ -20,6 +20,9 @@ SLICE = 256
 #: both processes at once, with room to grow, so Spark's 10 000 rows would be some hundred MB for each executor.
 WIDE_ROWS = 2048
 
+#: Bits of the filter that ``likely`` broadcasts.
+FILTER_BITS = 1 << 24
+
 
 @contextmanager
 def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
@@ -48,6 +51,23 @@ def stored(df: DataFrame, name: str, codec: str = "zstd", batch_rows: int | None
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def likely(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` occurs in ``wanted``, a table of one column, and a few others; a null is a key like any other.
+
+    To be put before a join that deals out wide rows of which most find nothing. A bit is set for the hash of each wanted key,
+    and the bits are broadcast: ``FILTER_BITS / 64`` rows at most, however many keys there are. With n keys about n of
+    ``FILTER_BITS`` other rows stay, so more keys make the join dearer, never the result different.
+    """
+
+    def place(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("_place")
+
+    word, bit = F.shiftright("_place", 6).alias("_word"), F.expr("shiftleft(1L, cast(_place % 64 as int))").alias("_bit")
+    words = wanted.toDF("_key").select(place(F.col("_key"))).select(word, bit).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    held = df.select("*", place(key)).select("*", word, bit).join(F.broadcast(words), "_word")
+    return held.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*df.columns)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -7,7 +7,8 @@ reaches the threshold falls below the miss probability; survivors are verified o
 
 Not all pairs of a bucket are compared: first, a few times, each member meets one member drawn by a hash, and the
 links found join classes into groups. Only members of a bucket that are then in different groups meet each other,
-tile by tile. That gives the same groups as comparing every pair, even where a group found before is a part of one.
+tile by tile: first their signatures, then the full sets of those whose signatures leave a pair. That gives the same
+groups as comparing every pair, even where a group found before is a part of one.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weir.llm.common import SLICE, WIDE_ROWS, in_groups, stored, whole_runs
+from weir.llm.common import SLICE, WIDE_ROWS, in_groups, likely, stored, whole_runs
 from weir.llm.spans import BASE, SpanHash, mixed
 from weir.llm.components import components, contracted
 
@@ -159,7 +160,7 @@ def pairs_in_runs(key: pa.Array, most: int = 1 << 18) -> Iterator[tuple[np.ndarr
 
 
 def signatures(docs: DataFrame, size: int, signer: Signer, id: str, text: str) -> DataFrame:
-    """(id, text_hash, n, node, keys, signature) per row; node, keys and signature are null without words."""
+    """(id, text_hash, n, digest, keys, signature) per row; digest, keys and signature are null without words."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,20 +169,20 @@ def signatures(docs: DataFrame, size: int, signer: Signer, id: str, text: str) -
                 some = batch.slice(at, SLICE)
                 sets = shingle_sets(some.column("text").to_pylist(), size)
                 n = [len(s) for s in sets]
-                node = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+                digest = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
                 keys, signature = [None] * len(sets), [None] * len(sets)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 for group in signable(n, full):
                     for i, key, signed in zip(group, *signer.sign([sets[i] for i in group])):
                         keys[i], signature[i] = key, signed.tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    some.column("id"), some.column("text_hash"), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
+                    some.column("id"), some.column("text_hash"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())), pa.array(signature, pa.binary()),
-                ], ["id", "text_hash", "n", "node", "keys", "signature"])
+                ], ["id", "text_hash", "n", "digest", "keys", "signature"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return stored(rows.mapInArrow(
-        sign, f"id {kind}, text_hash long, n long, node binary, keys array<long>, signature binary"), "signatures", batch_rows=WIDE_ROWS)
+        sign, f"id {kind}, text_hash long, n long, digest binary, keys array<long>, signature binary"), "signatures", batch_rows=WIDE_ROWS)
 
 
 def _surviving(pairs: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int, ...], percent: int) -> DataFrame:
@@ -200,14 +201,24 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, batch: int, needed: tuple[int
                 signs, first = np.frombuffer(b"".join(both_), np.uint8).reshape(2 * n, -1), np.arange(n)
                 yield batch_.select(["a", "b"]).take(pa.array(plausible(signs, first, first + n, batch, needed)))
 
-    return both.mapInArrow(prune, "a binary, b binary")
+    return both.mapInArrow(prune, "a long, b long")
 
 
-def class_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, size: int, id: str, text: str) -> DataFrame:
-    """(node, hashes): the full shingle sets of the classes ``wanted``, made anew from their texts."""
-    wanted = wanted.join(reps, "node")
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node): the members of the buckets that hold more than one of ``nodes`` (node, keys)."""
+    banded = nodes.select("node", F.explode("keys").alias("key"))
+    # A window needs the rows dealt out once; an aggregate to join with would deal them out twice.
+    counted = banded.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    return stored(counted.where("members > 1").select("key", "node"), "buckets")
+
+
+def class_sets(wanted: DataFrame, docs: DataFrame, size: int, id: str, text: str) -> DataFrame:
+    """(node, hashes): the full shingle sets of the classes ``wanted`` (node, id, text_hash), made anew from their texts."""
     bodies = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    found = bodies.join(wanted, bodies["id"].eqNullSafe(wanted["id"]) & (bodies["text_hash"] == wanted["text_hash"])).select("node", "text")
+    hashed, key = F.xxhash64("id", "text_hash"), F.struct("id", "text_hash")
+    bodies, wanted = likely(bodies, hashed, wanted.select(hashed)).select(key.alias("_key"), "text"), wanted.select(key.alias("_wanted"), "node")
+    # Of rows that repeat id and text one will do; they lie together after the join, by the key of ``wanted``.
+    found = bodies.join(wanted, F.col("_key") == F.col("_wanted")).dropDuplicates(["_wanted"]).select("node", "text")
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,8 +227,7 @@ def class_sets(wanted: DataFrame, docs: DataFrame, reps: DataFrame, size: int, i
                 sets = [s.tobytes() for s in shingle_sets(some.column("text").to_pylist(), size)]
                 yield pa.RecordBatch.from_arrays([some.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
 
-    # A row that repeats id and text gives its class again.
-    return stored(found.mapInArrow(to_sets, "node binary, hashes binary").dropDuplicates(["node"]), "shingle-sets", batch_rows=WIDE_ROWS)
+    return stored(found.mapInArrow(to_sets, "node long, hashes binary"), "shingle-sets", batch_rows=WIDE_ROWS)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -241,48 +251,65 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(similar(a, b, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(compare, "a binary, b binary")
+    return both.mapInArrow(compare, "a long, b long")
+
+
+def _met_pairs(runs: pa.RecordBatch, batch: int, needed: tuple[int, ...], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of whole runs of ``_group`` that sizes and signatures leave as pairs: of different groups, in the first bucket they share."""
+    n, tiles = runs.column("n").to_numpy(), runs.column("tile").to_numpy()
+    groups = runs.column("group").to_numpy()
+    two = (pc.not_equal(runs.column("low"), runs.column("high"))).to_numpy(zero_copy_only=False)
+    signs = np.frombuffer(b"".join(runs.column("signature").to_pylist()), np.uint8).reshape(runs.num_rows, -1)
+    keys, key = runs.column("keys").flatten().to_numpy().reshape(runs.num_rows, -1), runs.column("key").to_numpy()
+    for i, j in pairs_in_runs(runs.column("_group")):
+        fits = (groups[i] != groups[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (~two[i] | (tiles[i] != tiles[j]))
+        i, j = i[fits], j[fits]
+        left = plausible(signs, i, j, batch, needed)
+        i, j = i[left], j[left]
+        first = (keys[i] == keys[j]).argmax(axis=1)
+        here = keys[i, first] == key[i]
+        yield i[here], j[here]
 
 
 def _links_across_groups(members: DataFrame, nodes: DataFrame, sets: DataFrame, batch: int, needed: tuple[int, ...], percent: int, tile: int) -> DataFrame:
     """Verified pairs (a, b) of members of different groups, from buckets (key, node, group); a pair is looked at in the first bucket it shares.
 
-    The full sets travel with the members, so that no pair leaves its task unless it is a link.
+    Members meet twice, first with their signatures only. Those left in a pair meet again with their full sets, so that no
+    pair leaves its task unless it is a link, and no set travels for which there is nothing to compare.
     """
     open_ = (
         members.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles"))
         .where("low < high").select("key", "tiles")
     )
     dealt = (
-        members.join(open_, "key").join(nodes.select("node", "n", "signature", "keys"), "node").join(sets, "node")
+        members.join(open_, "key").join(nodes.select("node", "n", "signature", "keys"), "node")
         .withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
+        .select("key", "node", "group", "n", "signature", "keys", "tile", "low", "high")
     )
+    columns = dealt.columns
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for runs in whole_runs(batches, "_group"):
+            left = np.zeros(runs.num_rows, bool)
+            for i, j in _met_pairs(runs, batch, needed, percent):
+                left[i] = left[j] = True
+            if left.any():
+                yield runs.select(columns).filter(pa.array(left))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for runs in whole_runs(batches, "_group"):
-            nodes_, n, tiles = runs.column("node"), runs.column("n").to_numpy(), runs.column("tile").to_numpy()
-            groups = runs.column("group").dictionary_encode().indices.to_numpy()
-            two = (pc.not_equal(runs.column("low"), runs.column("high"))).to_numpy(zero_copy_only=False)
-            signs = np.frombuffer(b"".join(runs.column("signature").to_pylist()), np.uint8).reshape(runs.num_rows, -1)
-            keys, key = runs.column("keys").flatten().to_numpy().reshape(runs.num_rows, -1), runs.column("key").to_numpy()
-            hashes = runs.column("hashes")
-            for i, j in pairs_in_runs(runs.column("_group")):
-                fits = (groups[i] != groups[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (~two[i] | (tiles[i] != tiles[j]))
-                i, j = i[fits], j[fits]
-                left = plausible(signs, i, j, batch, needed)
-                i, j = i[left], j[left]
-                first = (keys[i] == keys[j]).argmax(axis=1)
-                here = keys[i, first] == key[i]
-                i, j = i[here], j[here]
+            nodes_, hashes = runs.column("node"), runs.column("hashes")
+            for i, j in _met_pairs(runs, batch, needed, percent):
                 linked = np.array([
                     similar(*(np.frombuffer(hashes[x].as_buffer(), np.uint64) for x in pair), percent) for pair in zip(i.tolist(), j.tolist())], bool)
                 if linked.any():
                     yield pa.RecordBatch.from_arrays([nodes_.take(pa.array(i[linked])), nodes_.take(pa.array(j[linked]))], ["a", "b"])
 
-    rows = dealt.select("key", "node", "group", "n", "signature", "keys", "hashes", "tile", "low", "high")
-    found = in_groups(rows, ["key", "low", "high"]).mapInArrow(compare, "a binary, b binary")
+    tiled = ["key", "low", "high"]
+    left = in_groups(dealt, tiled).mapInArrow(sift, dealt.schema)
+    found = in_groups(left.join(sets, "node"), tiled).mapInArrow(compare, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -327,15 +354,15 @@ def near_documents(
     needed = needed_matches(positions, batch, percent / 100, miss)
     signed = signatures(docs, size, signer, id, text)
     first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash"))
-    # Rows with equal sets have equal signatures, so any of them will do.
-    classes = stored(signed.where("node IS NOT NULL").groupBy("node").agg(
-        first.alias("rep"), *[F.first(c).alias(c) for c in ("n", "keys", "signature")]), "classes")
-    reps, nodes = classes.select("node", "rep.id", "rep.text_hash"), classes.select("node", "n", "keys", "signature")
+    # Rows with equal sets have equal signatures, so any of them will do. Classes are numbered: a number is half of a digest, and packs better.
+    classes = stored(signed.where("digest IS NOT NULL").groupBy("digest").agg(
+        first.alias("rep"), *[F.first(c).alias(c) for c in ("n", "keys", "signature")]).withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    banded = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    members = stored(banded.join(buckets, "key"), "buckets")
-    sets = class_sets(members.select("node").distinct(), docs, reps, size, id, text)
+    members = shared_buckets(classes.select("node", "keys"))
+    bucketed = members.select("node").distinct()
+    # Most texts have no other in their buckets; from here on only the others are read.
+    nodes = stored(likely(classes.drop("digest"), F.col("node"), members.select("node")).join(bucketed, "node"), "nodes")
+    sets = class_sets(nodes.select("node", "rep.id", "rep.text_hash"), docs, size, id, text)
 
     groups = edges = None
     for turn in range(turns):
@@ -354,14 +381,12 @@ def near_documents(
     more = stored(_links_across_groups(_placed(members, groups), nodes, sets, batch, needed, percent, tile), "links", batch_rows=WIDE_ROWS)
     groups = components(more if edges is None else edges.unionByName(more))
 
-    labelled = signed.select("id", "text_hash", "n", "node").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-    least = (
-        reps.join(groups, "node", "left").groupBy(F.coalesce("component", "node").alias("group"))
-        .agg(F.min("id").alias("component"), F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"))
-    )
+    grouped = classes.select("digest", "node", "rep.id", "rep.text_hash").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    least = grouped.groupBy("group").agg(F.min("id").alias("component"), F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"))
+    labelled = signed.select("id", "text_hash", "n", "digest").join(grouped.select("digest", "group"), "digest", "left")
     own = F.struct(F.col("id").isNull(), "id", "text_hash")
     return labelled.join(least, "group", "left").select(
         "id", "text_hash", F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"),
-        (F.col("node").isNull() | (own == F.col("first"))).alias("stays"),
+        F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"),
+        (F.col("digest").isNull() | (own == F.col("first"))).alias("stays"),
     ).withColumn("kept", F.coalesce(F.col("id") == F.col("component"), F.lit(False)))
