@@ -8,8 +8,11 @@ import math
 import os
 import random
 import re
+import threading
 import zlib
 from collections import Counter
+from contextlib import contextmanager
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -23,9 +26,10 @@ from weir.llm import byte_bpe, line_dedup, packing, quality, toxicity, url_filte
 from weir.llm.common import WIDE_ROWS, arrow_rows, held_out, labelled_sample, likely, stored, whole_runs
 from weir.llm.components import components, contracted
 from weir.llm.near_documents import near_documents, needed_matches, pairs_in_runs
-from weir.llm.near_vectors import near_vectors
+from weir.llm.near_vectors import near_vectors, tiles_of
 from weir.llm.queries import ORACLE_SQL, QUERIES
 from weir.llm.vector_search import cover_tree, dual_tree_search, exact_scores, top_k
+from weir.workspace import run_folder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -213,6 +217,59 @@ def test_near_vectors_equal_brute_force(spark):
     assert near_vectors(vectors(spark, [])).count() == 0
 
 
+@contextmanager
+def disk_peak(spark, folder):
+    """The most bytes that were in a folder and in the files of a local session's own folders, above what was there."""
+    own = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    places, peak, over = [folder, *own], [0], threading.Event()
+
+    def held():
+        total = 0
+        for top, _, names in (found for place in places for found in os.walk(place)):
+            for name in names:
+                try:
+                    total += os.lstat(f"{top}/{name}").st_size
+                except OSError:  # deleted meanwhile
+                    pass
+        return total
+
+    before = held()
+
+    def watch():
+        while not over.wait(0.02):
+            peak[0] = max(peak[0], held() - before)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        yield peak
+    finally:
+        over.set()
+        watcher.join()
+
+
+def test_dense_cells_are_not_copied_for_their_tiles(spark):
+    """4000 vectors of one cell are 40 tiles; each vector is on disk a few times, not once for each tile."""
+    random = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in np.float32(np.ones(16) / 4 + 0.02 * random.standard_normal(16))], 0) for i in range(4000)]
+    df = vectors(spark, rows).cache()
+    df.count()
+    with run_folder(spark) as folder:
+        with disk_peak(spark, folder) as peak:
+            found = near_vectors(df, tile=100)
+        assert peak[0] < 20 * 4000 * 16 * 4
+        assert not list(Path(folder).glob("tiles-*"))
+        got = found.collect()
+    assert len(got) == 4000 and {r.n_links for r in got} == {3999} and {r.component for r in got} == {0}
+    df.unpersist()
+
+
+def test_tiles_have_one_key_and_a_bounded_size():
+    batches = [pa.record_batch({"k": list(keys), "n": list(range(len(keys)))}) for keys in ("aaab", "", "bbbbbbc", "c", "d")]
+    got = [(b.column("k")[0].as_py(), b.num_rows, len(set(b.column("k").to_pylist()))) for b in tiles_of(iter(b for b in batches if b.num_rows), "k", 3)]
+    assert got == [("a", 3, 1), ("b", 3, 1), ("b", 3, 1), ("b", 1, 1), ("c", 2, 1), ("d", 1, 1)]
+
+
 def test_top_k_equals_brute_force(spark):
     random = np.random.default_rng(2)
     rows = [(i, [float(x) for x in np.float32(random.standard_normal(8).round(1))], 0) for i in range(300)]

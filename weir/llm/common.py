@@ -39,6 +39,21 @@ def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it, what a query has shuffled is deleted from the executors' disks as soon as it ends.
+
+    For queries that write a table; Spark otherwise keeps the files until the driver happens to collect the plan.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd", batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 

@@ -31,6 +31,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_runs[-1] if _runs else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing will read again."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 #: Folders of the runs that are open, the innermost last.
 _runs: list[str] = []
 
@@ -47,5 +53,4 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _runs.remove(folder)
-        there = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+        delete(spark, folder)
