@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weir.llm import divergence, spelling, transducer, weak_rules
+from weir.llm.common import stored
 from weir.llm.queries import QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -78,6 +79,17 @@ def test_near_words_share_a_signature():
         assert as_shorter & as_other, (a, b)
 
 
+def test_signatures_are_not_broadcast(spark):
+    """Each word has 24 of them, which the size of its file does not tell; nor are chains of forms or what is joined last."""
+    df = spark.createDataFrame([("abandoned", 500), ("abandned", 20), ("abndned", 1), ("other", 3)], "word string, n long")
+    known = stored(df, "words")
+    found = spelling.spelling_variants(df)
+    assert {r.word: r.root for r in found.collect()} == {"abandoned": "abandoned", "abandned": "abandoned", "abndned": "abandoned", "other": "other"}
+    for frame in (spelling.near_pairs(known), found):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_runs_and_misprints(spark):
     texts = [(1, "Straßen-bahn ÄPFELÄPFEL foo_barbarbar x"), (None, "abcdefgh abcdefgh"), (3, None), (4, ""), (1, "Straßen-bahn ÄPFELÄPFEL foo_barbarbar x"), (5, "word" * 30000)]
     df = spark.createDataFrame([(*t, "y") for t in texts], "doc_id long, text string, run string")

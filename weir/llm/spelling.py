@@ -119,7 +119,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """(a, n_a, b, n_b): each pair of words one edit apart, once.
 
     Buckets are joined by their keys, which Spark splits where one is large; every candidate is verified by its
-    edit distance in that join, so only near pairs leave it, a few times each.
+    edit distance in that join, so only near pairs leave it, a few times each. Spark sizes the keys, 24 a word,
+    by the words' compressed file, so it is told to sort both sides and broadcast none.
     """
     keyed = signatures(words)
     left = keyed.where("NOT longer").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
@@ -127,7 +128,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # Whatever keys happen to be equal, a pair has one order: the shorter word first, of equal ones the smaller.
     ordered = F.when(F.col("longer"), F.length("a") < F.length("b")).otherwise((F.length("a") == F.length("b")) & (F.col("a") < F.col("b")))
     meet = (left["key"] == right["key"]) & (F.levenshtein("a", "b", 1) == 1) & ordered
-    return left.join(right, meet).select("a", "n_a", "b", "n_b").distinct()
+    return left.hint("merge").join(right, meet).select("a", "n_a", "b", "n_b").distinct()
 
 
 def spelling_variants(words: DataFrame, factor: int = 10) -> DataFrame:
@@ -157,6 +158,6 @@ def spelling_variants(words: DataFrame, factor: int = 10) -> DataFrame:
     longest = int(math.log(max(most, 1), factor)) + 1
     for _ in range(math.ceil(math.log2(longest)) if longest > 1 else 0):
         onward = steps.select(F.col("from").alias("to"), F.col("to").alias("next"))
-        steps = stored(steps.join(onward, "to", "left").select("from", F.coalesce("next", "to").alias("to")), "roots")
+        steps = stored(steps.hint("merge").join(onward, "to", "left").select("from", F.coalesce("next", "to").alias("to")), "roots")
     roots = steps.select(F.col("from").alias("word"), F.col("to").alias("root"))
-    return judged.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return judged.hint("merge").join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
