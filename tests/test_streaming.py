@@ -375,6 +375,36 @@ def test_log_is_read_by_records_from_where_it_was_left(spark):
         ends |= {p: offsets[-1] + 1 for p, offsets in held.items()}
 
 
+def test_ranges_open_only_their_files(spark):
+    """Four deliveries of 10 offsets are a file each; a batch of 15 meets two of them, whatever else the log holds."""
+    log = scratch(spark, "log")
+    for low in range(0, 40, 10):
+        write_log_files(spark.range(low, low + 10).coalesce(1).selectExpr("0 partition", "id offset", "timestamp_seconds(id) timestamp", "cast('x' as binary) value"), log)
+    reader = log_ranges.LogReader({"path": log, "maxrecords": "15"}, logs.LOG_SCHEMA)
+    ends = [reader.latestOffset() for _ in range(3)]
+    tasks = [reader.partitions(a, b) for a, b in zip([{}, *ends], ends)]
+    assert [[len(r.files) for t in task for r in t.ranges] for task in tasks] == [[2], [2], [1]]
+    read = [[o for t in task for b in reader.read(t) for o in b.column("offset").to_pylist()] for task in tasks]
+    assert [sorted(r) for r in read] == [list(range(15)), list(range(15, 30)), list(range(30, 40))]
+
+
+def test_micro_batches_of_the_log_cost_few_files(spark):
+    """A batch's rows are written straight into its folder, with a plan that is the same for all; checkpoints are plain renames."""
+    out, name = scratch(spark, "out"), "spark.sql.streaming.checkpointFileManagerClass"
+    before = spark.conf.get(name, None)
+    with run.light_checkpoints(spark):
+        assert spark.conf.get(name).endswith("FileSystemBasedCheckpointFileManager")
+    assert spark.conf.get(name, None) == before
+    for n in (2, 1):
+        commit.commit_once(spark.range(n).withColumn("batch_id", F.lit(77)), 5, out, "a/b c")
+    commit.commit_once(spark.range(3).coalesce(1), 6, out, "a/b c")
+    assert [(r.writer, r.batch_id, r["count"]) for r in commit.by_writer(spark, out).groupBy("writer", "batch_id").count().orderBy("batch_id").collect()] == [("a/b c", 5, 1), ("a/b c", 6, 3)]
+    tables = scratch(spark, "tables")
+    spark.range(3000).selectExpr("id event_id", "timestamp_ntz'2024-01-01' ts", "'{}' props").write.parquet(f"{tables}/events.parquet")
+    found = streams.s3_batches_of_records(spark, tables)
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 1234), (1, 1234), (2, 532)]
+
+
 def test_log_starts_where_it_is_told(spark):
     log = scratch(spark, "log")
     write_log_files(spark.range(20).selectExpr("cast(id % 2 as int) partition", "id div 2 offset", "timestamp_seconds(id) timestamp", "cast('x' as binary) value"), log)
