@@ -1,10 +1,13 @@
 """Streams give what the batch gives; replays add nothing."""
 
+import random
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, TimestampType
 
 from weir.catalog import streams
 from weir.config import AggregationOptions, LogOptions, StreamOptions
@@ -241,6 +244,44 @@ def test_every_row_gets_its_count_across_restarts(spark):
     assert spark.read.parquet(out).columns == ["k", "x", "n"]
 
 
+class Calls:
+    """A state of a stateful processor that counts the calls to it."""
+
+    def __init__(self):
+        self.entries, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.entries.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.entries[key] = value
+
+    def get(self):
+        return self.entries.get(())
+
+    def update(self, value):
+        self.entries[()] = value
+
+
+@pytest.mark.parametrize(("kind", "key"), [(StringType(), str), (LongType(), int), (TimestampType(), lambda i: datetime(2024, 1, 1) + timedelta(seconds=i))])
+def test_counts_are_looked_up_by_buckets_of_keys(kind, key):
+    """3000 keys of 8 buckets are two calls a bucket and micro-batch, and go on from what the last left."""
+    processor = stateful._Occurrences("k", kind)
+    processor.counts, processor.total = Calls(), Calls()
+    numbers = {i: 0 for i in range(3000)}
+    for seed in (1, 2):
+        order = random.Random(seed).choices(range(3000), k=9000)
+        batches = [pd.DataFrame({"k": [key(i) for i in order[at:at + 1000]], "x": order[at:at + 1000], "bucket_of_key": [i % 8 for i in order[at:at + 1000]], "_group": 0}) for at in range(0, 9000, 1000)]
+        for got in processor.handleInputRows((0,), iter(batches), None):
+            assert list(got.columns) == ["k", "x", "n"]
+            for i, n in zip(got["x"].tolist(), got["n"].tolist()):
+                numbers[i] += 1
+                assert n == numbers[i]
+    assert processor.counts.calls == 2 * 2 * 8 and processor.total.get() == (18000,)
+
+
 def test_buffers_flush_when_full_or_at_the_tick(spark):
     """25 rows of buffer 0 fill it twice; what is left, and the rows without a buffer, leave at the tick. A restart keeps what is held."""
     path, out = scratch(spark, "inbox"), scratch(spark, "out")

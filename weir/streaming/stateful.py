@@ -1,6 +1,6 @@
 """Operators that keep state per key between micro-batches and emit a row for each row they get.
 
-Rows of a group arrive in batches of Arrow rows and are handled as such; state is looked up once per key and batch.
+Rows of a group arrive in batches of Arrow rows and are handled as such; state is looked up once per bucket of keys and batch.
 """
 
 from __future__ import annotations
@@ -9,13 +9,17 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
-_GROUP = "_group"
+#: The processor reads the bucket; Spark hands it no name that begins with an underscore.
+_GROUP, _BUCKET = "_group", "bucket_of_key"
 
 _STORE = "spark.sql.streaming.stateStore."
 #: RocksDB is the only store of Spark's that holds several states per operator; its changes are uploaded instead of whole files.
@@ -45,48 +49,69 @@ def state_in_rocksdb(spark: SparkSession, partitions: int) -> Iterator[None]:
 
 
 class _Occurrences(StatefulProcessor):
-    """Numbers each row among the rows of its key. Counts are map state, a key's entry read and written once per micro-batch."""
+    """Numbers each row among the rows of its key. Counts are map state, an entry per bucket of keys, read and written once per micro-batch."""
 
-    def __init__(self, key: str, key_type: str):
-        self.key, self.key_type = key, key_type
+    def __init__(self, key: str, key_type: T.DataType):
+        # Times come in the session's zone, without naming it.
+        self.key, self.kind = key, to_arrow_type(T.TimestampNTZType() if isinstance(key_type, T.TimestampType) else key_type)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", f"key {self.key_type}", "n long")
+        self.counts = handle.getMapState("counts", "bucket int", "held binary")
         self.total = handle.getValueState("total", "n long")
 
+    def _held(self, bucket: int) -> dict:
+        entry = self.counts.getValue((bucket,))
+        if entry is None:
+            return {}
+        table = pa.ipc.open_stream(bytes(entry[0])).read_all()
+        return dict(zip(table.column("key").to_pylist(), table.column("n").to_pylist()))
+
+    def _hold(self, bucket: int, counts: dict) -> None:
+        rows = pa.record_batch([pa.array(list(counts), self.kind), pa.array(list(counts.values()), pa.int64())], ["key", "n"])
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, rows.schema) as stream:
+            stream.write_batch(rows)
+        self.counts.updateValue((bucket,), (out.getvalue().to_pybytes(),))
+
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        so_far: dict = {}
+        so_far: dict[int, dict] = {}
         before = (self.total.get() or (0,))[0]
         rows_seen = 0
         for some in rows:
-            keys = some[self.key]
-            for k in keys.unique().tolist():
-                if k not in so_far:
-                    so_far[k] = (self.counts.getValue((k,)) or (0,))[0]
-            n = keys.map(so_far).astype("int64") + some.groupby(self.key).cumcount() + 1
-            for k, more in keys.value_counts().items():
-                so_far[k] += int(more)
+            codes, keys = pd.factorize(some[self.key])
+            first = np.empty(len(keys), np.int64)
+            first[codes[::-1]] = np.arange(len(some))[::-1]
+            buckets, keys = some[_BUCKET].to_numpy()[first].tolist(), keys.tolist()
+            start = np.empty(len(keys), np.int64)
+            for i, (bucket, k, more) in enumerate(zip(buckets, keys, np.bincount(codes, minlength=len(keys)).tolist())):
+                counts = so_far.get(bucket)
+                if counts is None:
+                    counts = so_far[bucket] = self._held(bucket)
+                start[i] = counts.get(k, 0)
+                counts[k] = counts.get(k, 0) + more
+            n = start[codes] + some.groupby(codes).cumcount().to_numpy() + 1
             rows_seen += len(some)
-            yield some.drop(columns=_GROUP, errors="ignore").assign(n=n)
-        for k, n in so_far.items():
-            self.counts.updateValue((k,), (n,))
+            yield some.drop(columns=[_GROUP, _BUCKET], errors="ignore").assign(n=n)
+        for bucket, counts in so_far.items():
+            self._hold(bucket, counts)
         self.total.update((before + rows_seen,))
 
     def close(self) -> None:
         pass
 
 
-def running_count_per_row(sdf: DataFrame, key: str, groups: int) -> DataFrame:
+def running_count_per_row(sdf: DataFrame, key: str, groups: int, buckets: int = 1024) -> DataFrame:
     """Every row of the stream with ``n``, the number of rows of its key so far, itself included.
 
-    Keys are dealt to ``groups`` by their hash; a group's counts are map state in the state store, of which a
-    micro-batch touches the entries of its own keys. NULL is no key and such rows are left out. Rows of a key that
-    arrive together are numbered in the order they are read; numbers never repeat, also after a restart.
+    Keys are dealt to ``groups`` by their hash, and in a group to ``buckets``; a group's counts are map state in the state store, an
+    entry per bucket, of which a micro-batch touches those of its own keys: a call to the store takes longer than some hundred counts in it.
+    More buckets suit many more keys. Neither number may change while a checkpoint is used. NULL is no key and such rows are left out. Rows of
+    a key that arrive together are numbered in the order they are read; numbers never repeat, also after a restart.
     """
-    kind = sdf.schema[key].dataType.simpleString()
     out = T.StructType([*sdf.schema.fields, T.StructField("n", T.LongType())])
-    dealt = sdf.where(F.col(key).isNotNull()).withColumn(_GROUP, F.pmod(F.xxhash64(key), F.lit(groups)))
-    return dealt.groupBy(_GROUP).transformWithStateInPandas(_Occurrences(key, kind), out, "append", "none")
+    dealt = sdf.where(F.col(key).isNotNull()).withColumns({
+        _GROUP: F.pmod(F.xxhash64(key), F.lit(groups)), _BUCKET: F.pmod(F.xxhash64(key, F.lit(_BUCKET)), F.lit(buckets)).cast("int")})
+    return dealt.groupBy(_GROUP).transformWithStateInPandas(_Occurrences(key, sdf.schema[key].dataType), out, "append", "none")
 
 
 class _Buffer(StatefulProcessor):
